@@ -204,7 +204,8 @@ ORACLE_SQL: dict[str, str] = {
     "periods_cold": all_runs(EVENTS, EVENT_COLD),
     "heatwaves": result(EVENTS, EVENT_HEAT, "user_id"),
     "coldwaves": result(EVENTS, EVENT_COLD, "user_id"),
-    "both_kinds": f"""SELECT station AS user_id, * EXCLUDE station
+    "both_kinds": f"""SELECT station AS user_id, kind, start_date, end_date, duration,
+        extreme_days, temperature AS extreme_temperature
         FROM ({both(GAPPY, EVENT_HEAT, EVENT_COLD)})""",
     "heatwaves_station": result(ORDERS_HERE, ORDER_HEAT, None, ORDER_START_YEAR),
     "coldwaves_station": result(ORDERS_HERE, ORDER_COLD, None, ORDER_START_YEAR),

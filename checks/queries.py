@@ -21,7 +21,7 @@ from tempspan.operators.daily import (
     daily_extremes, from_start_year, only_station, station_day_readings, station_days,
 )
 from tempspan.operators.periods import (
-    detect, detect_kinds, flag_days, of_kind, periods_of, run_ids,
+    detect, detect_kinds, flag_days, periods_of, run_ids,
 )
 from tempspan.operators.quality import (
     quality_report, quality_totals, quality_totals_of_days, report_rows,
@@ -336,12 +336,7 @@ def order_summary(spark, sf):
 
 
 def q_both_kinds(spark, sf):
-    rules = [EVENT_HEAT, EVENT_COLD]
-    waves = both_kinds(gappy_events(spark, sf), rules, ["user_id"], 2003)
-    columns = ["user_id", "start_date", "end_date", "duration", "extreme_days", "temperature"]
-    hot = of_kind(waves, EVENT_HEAT).toDF(*columns).withColumn("kind", F.lit("heatwaves"))
-    cold = of_kind(waves, EVENT_COLD).toDF(*columns).withColumn("kind", F.lit("coldwaves"))
-    return hot.unionByName(cold)
+    return both_kinds(gappy_events(spark, sf), [EVENT_HEAT, EVENT_COLD], ["user_id"], 2003)
 
 
 QUERIES: dict[str, Query] = {

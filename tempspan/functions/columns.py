@@ -13,14 +13,13 @@ from tempspan.schema import RESULT_DATE_FORMAT, TIME_FORMAT
 
 
 def blank_to_null(text: Column) -> Column:
-    """The text without outer spaces, or NULL when nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+    """The text as it is, or NULL when there is nothing but spaces in it."""
+    return F.when(F.trim(text) != "", text)
 
 
 def to_double(text: Column) -> Column:
     """The number in the text; NULL for blanks, malformed numbers and NaN."""
-    number = blank_to_null(text).try_cast("double")
-    return F.nanvl(number, F.lit(None).cast("double"))
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_day(text: Column) -> Column:

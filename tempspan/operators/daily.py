@@ -45,8 +45,9 @@ def daily_extremes(observations: DataFrame, keys: Sequence[str] = (STATION,),
 
     With ``tn``: daily maximum and minimum over the observations that have both values.
     """
-    readings = [tx] if tn is None else [tx, tn]
-    usable = observations.dropna(subset=readings)
+    usable = observations.filter(F.col(tx).isNotNull())
+    if tn is not None:
+        usable = usable.filter(F.col(tn).isNotNull())
     if start_year is not None:
         usable = from_start_year(usable, start_year, day)
     wanted = [F.max(tx).alias(tx)]

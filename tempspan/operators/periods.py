@@ -45,26 +45,35 @@ def run_ids(days: DataFrame, keys: Sequence[str] = (STATION,), day: str = DAY,
 
 
 def consecutive_periods(days: DataFrame, condition: Column, extreme: Column,
-                        statistics: Mapping[str, Column], keys: Sequence[str] = (STATION,),
-                        day: str = DAY, one_row_per_day: bool = True) -> DataFrame:
+                        reading: Column, keys: Sequence[str] = (STATION,), day: str = DAY,
+                        repeated_days: bool = False) -> DataFrame:
     """Maximal runs of consecutive days that meet ``condition``.
 
-    Result: keys, ``group_id, start_date, end_date, duration, extreme_days`` and the
-    aggregates in ``statistics``. ``extreme_days`` counts the run's days that meet
-    ``extreme``; with ``one_row_per_day=False`` repeated days are counted once.
+    Result: keys, ``group_id, start_date, end_date, duration, extreme_days, highest,
+    lowest``: the days of the run that meet ``extreme``, and the bounds of ``reading``.
+
+    ``days`` has one row per keys and day, as ``daily_extremes`` gives. With
+    ``repeated_days`` it may have more: a day then counts when any of its rows does, and
+    the rows are merged before the shuffle by keys.
     """
-    runs = run_ids(days.filter(condition), keys, day)
-    if one_row_per_day:
-        extreme_days = F.count_if(extreme)
-    else:
-        extreme_days = F.count_distinct(F.when(extreme, F.col(day)))
+    qualifying = days.filter(condition).select(
+        *keys, day, extreme.alias("is_extreme"), reading.alias("reading"))
+    highest = lowest = "reading"
+    if repeated_days:
+        highest, lowest = "highest", "lowest"
+        qualifying = qualifying.groupBy(*keys, day).agg(
+            F.bool_or("is_extreme").alias("is_extreme"),
+            F.max("reading").alias(highest),
+            F.min("reading").alias(lowest),
+        )
     first, last = F.min(day), F.max(day)
-    return runs.groupBy(*keys, "group_id").agg(
+    return run_ids(qualifying, keys, day).groupBy(*keys, "group_id").agg(
         first.alias("start_date"),
         last.alias("end_date"),
         (F.datediff(last, first) + 1).cast("long").alias("duration"),
-        extreme_days.alias("extreme_days"),
-        *[value.alias(name) for name, value in statistics.items()],
+        F.count_if("is_extreme").alias("extreme_days"),
+        F.max(highest).alias("highest"),
+        F.min(lowest).alias("lowest"),
     )
 
 
@@ -72,11 +81,10 @@ def periods_of(days: DataFrame, rule: WaveRule, keys: Sequence[str] = (STATION,)
                day: str = DAY, tx: str = TX, tn: str | None = None) -> DataFrame:
     """All runs of days that qualify under ``rule``, whatever their length."""
     x, n = F.col(tx), None if tn is None else F.col(tn)
-    temperature = rule.most_extreme(rule.reading(x, n))
-    return consecutive_periods(
-        days, rule.qualifies(x), rule.is_extreme(x, n),
-        {rule.temperature_column: temperature}, keys, day,
-    )
+    runs = consecutive_periods(
+        days, rule.qualifies(x), rule.is_extreme(x, n), rule.reading(x, n), keys, day)
+    temperature = F.col(rule.bound).alias(rule.temperature_column)
+    return runs.select(*keys, "group_id", *PERIOD, temperature)
 
 
 def detect(days: DataFrame, rule: WaveRule, keys: Sequence[str] = (STATION,),
@@ -114,19 +122,13 @@ def detect_kinds(days: DataFrame, rules: Sequence[WaveRule],
         marks.append(F.when(rule.qualifies(x), mark))
     marked = days.select(*keys, day, F.inline(F.array_compact(F.array(*marks))))
 
-    kind = F.col("kind")
-    accepted = F.lit(False)
-    temperature = F.lit(None).cast("double")
+    periods = consecutive_periods(marked, F.lit(True), F.col("is_extreme"), F.col("reading"),
+                                  [*keys, "kind"], day)
+    accepted, temperature = F.lit(False), F.lit(None).cast("double")
     for rule in rules:
-        chosen = kind == rule.kind
+        chosen = F.col("kind") == rule.kind
         accepted = accepted | (chosen & rule.accepts(F.col("duration"), F.col("extreme_days")))
-        source = "highest" if rule.warm else "lowest"
-        temperature = F.when(chosen, F.col(source)).otherwise(temperature)
-    periods = consecutive_periods(
-        marked, F.lit(True), F.col("is_extreme"),
-        {"highest": F.max("reading"), "lowest": F.min("reading")},
-        [*keys, "kind"], day,
-    )
+        temperature = F.when(chosen, F.col(rule.bound)).otherwise(temperature)
     return periods.filter(accepted).select(
         *keys, "kind", *PERIOD, temperature.alias("extreme_temperature"))
 

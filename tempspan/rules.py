@@ -45,6 +45,11 @@ class WaveRule:
         """The daily value whose highest (warm) or lowest (cold) one the period reports."""
         return tx if self.warm else tn
 
+    @property
+    def bound(self) -> str:
+        """Which bound of a run's readings the period reports."""
+        return "highest" if self.warm else "lowest"
+
     def most_extreme(self, reading: Column | str) -> Column:
         return F.max(reading) if self.warm else F.min(reading)
 

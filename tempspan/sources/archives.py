@@ -56,7 +56,7 @@ def unpack(archives: DataFrame) -> DataFrame:
         try:
             with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as archive:
                 for member in archive:
-                    parts = PurePosixPath(member.name).parts
+                    parts = PurePosixPath(member.name.replace("../", "")).parts
                     if not member.isfile() or any(p.startswith((".", "_")) for p in parts):
                         continue
                     name = f"{source}!{member.name}"

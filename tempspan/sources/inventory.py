@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 def list_files(spark: SparkSession, path: str | list[str],
                pattern: str | None = None) -> DataFrame:
-    """``(source, size)`` of every file below ``path``. File contents are not read."""
+    """``(source, size)`` of every file below ``path``. File contents are not read.
+
+    Spark's readers pass over files of zero bytes and names that start with ``_`` or ``.``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

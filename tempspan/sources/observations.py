@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,7 +131,8 @@ def cast_fields(fields: DataFrame,
 
 def require_keys(observations: DataFrame,
                  keys: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    return observations.dropna(subset=list(keys))
+    """Rows that have all keys."""
+    return observations.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
 
 
 def derive_day(observations: DataFrame, time: str = TIME_FIELD, day: str = DAY) -> DataFrame:
