@@ -189,7 +189,7 @@ def q_archive_lines(spark, sf):
             for start in range(0, batch.num_rows, 200):
                 rows = batch.slice(start, 200).to_pylist()
                 buffer = io.BytesIO()
-                with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
+                with tarfile.open(fileobj=buffer, mode="w:gz", compresslevel=1) as archive:
                     for row in rows:
                         content = (row["text"] or "").encode()
                         entry = tarfile.TarInfo(f"doc/{row['doc_id']}")
