@@ -27,7 +27,9 @@ OBSERVATION_FIELDS: dict[str, str] = {
 }
 REQUIRED_FIELDS = ("DTG", "LOCATION")
 TIME_FIELD = "DTG"
+# How observation times are printed, as a format and as a pattern.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_PATTERN = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
 HEADER_MARK = "#"
 
 STATION = "LOCATION"

@@ -45,7 +45,7 @@ def explode_lines(documents: DataFrame, text: str, line: str = "line",
 
 def is_data_line(line: Column, mark: str = HEADER_MARK) -> Column:
     """Neither a comment (starts with ``mark``) nor blank."""
-    return ~line.startswith(mark) & (F.length(F.trim(line)) > 0)
+    return ~line.startswith(mark) & (F.ltrim(line) != "")
 
 
 def data_lines(lines: DataFrame, line: str = "value", mark: str = HEADER_MARK) -> DataFrame:

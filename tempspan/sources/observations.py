@@ -20,7 +20,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.functions.columns import blank_to_null, to_day, to_double
@@ -90,10 +90,31 @@ def attach_layouts(lines: DataFrame, headers: DataFrame, bytes_of_headers: int,
                    clip_last: bool = True,
                    broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Give every line the slices of its file; lines of files without a header go."""
-    layouts = header_slices(headers, clip_last=clip_last)
+    layouts = spread_slices(header_slices(headers, clip_last=clip_last))
+    measured = with_narrow(lines)
     if bytes_of_headers <= broadcast_limit:
-        return attach_by_broadcast(lines, layouts)
-    return attach_by_chunk(lines, layouts)
+        return attach_by_broadcast(measured, layouts)
+    return attach_by_chunk(measured, layouts)
+
+
+def spread_slices(layouts: DataFrame,
+                  fields: Sequence[str] = tuple(OBSERVATION_FIELDS)) -> DataFrame:
+    """``starts`` and ``lengths`` as two plain columns per field.
+
+    Columns of their own are pruned with the fields that nobody asks for, and keep the
+    code that cuts all fields small enough for the JVM to compile.
+    """
+    others = [c for c in layouts.columns if c not in ("starts", "lengths")]
+    return layouts.select(
+        *others,
+        *[F.col("starts")[i].alias(f"{f}_start") for i, f in enumerate(fields)],
+        *[F.col("lengths")[i].alias(f"{f}_length") for i, f in enumerate(fields)],
+    )
+
+
+def with_narrow(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Mark the lines in which every character is one byte."""
+    return lines.withColumn("narrow", F.length(line) == F.octet_length(line))
 
 
 def attach_by_broadcast(lines: DataFrame, layouts: DataFrame) -> DataFrame:
@@ -104,20 +125,26 @@ def attach_by_chunk(lines: DataFrame, layouts: DataFrame,
                     chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     chunk_of = F.floor(F.col("offset") / chunk_bytes)
     last_chunk = F.floor(F.col("size") / chunk_bytes)
-    per_chunk = layouts.select(
-        "source", "starts", "lengths",
-        F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("chunk"),
-    )
+    chunks = F.sequence(F.lit(0).cast("long"), last_chunk)
+    per_chunk = layouts.withColumn("chunk", F.explode(chunks)).drop("size")
     return lines.withColumn("chunk", chunk_of).join(per_chunk, ["source", "chunk"])
 
 
 def slice_fields(lines: DataFrame, fields: Sequence[str] = tuple(OBSERVATION_FIELDS),
                  line: str = "value") -> DataFrame:
-    """Cut each line at its ``starts`` and ``lengths`` into trimmed text columns."""
-    return lines.select(*[
-        F.trim(F.substring(F.col(line), F.col("starts")[i], F.col("lengths")[i])).alias(field)
-        for i, field in enumerate(fields)
-    ])
+    """Cut each line at its slices into trimmed text columns.
+
+    Positions count characters. Spark finds a character by walking from the start of the
+    text, so ``narrow`` lines are cut by bytes instead, which it reaches directly.
+    """
+    text, octets = F.col(line), F.col(line).cast("binary")
+
+    def cut(field: str) -> Column:
+        start, length = F.col(f"{field}_start"), F.col(f"{field}_length")
+        by_byte = F.substring(octets, start, length).cast("string")
+        return F.when(F.col("narrow"), by_byte).otherwise(F.substring(text, start, length))
+
+    return lines.select(*[F.trim(cut(field)).alias(field) for field in fields])
 
 
 def cast_fields(fields: DataFrame,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempspan.functions.columns import blank_to_null, to_day, to_double
-from tempspan.schema import OBSERVATION_FIELDS
+from tempspan.schema import OBSERVATION_FIELDS, TIME_FORMAT
 from tempspan.sources import observations as obs
 from tempspan.sources.archives import read_archives
 from tempspan.sources.headers import detect_headers, header_slices
@@ -15,7 +15,7 @@ from tempspan.sources.inventory import first_files, list_files, summarize_files
 from tempspan.sources.lines import explode_lines, scan_lines
 from tempspan.sources.observations import (
     attach_by_broadcast, attach_by_chunk, data_lines, file_headers, observations_from_lines,
-    read_observations, slice_fields, union_sources,
+    read_observations, slice_fields, spread_slices, union_sources, with_narrow,
 )
 from tests.files import FIELDS, HEADER_TEXT, document, header, observation, row, write
 
@@ -165,10 +165,21 @@ def test_text_columns_do_not_depend_on_ansi_mode(spark, set_conf, ansi):
     got = frame.select(to_double(F.col("t")), blank_to_null(F.col("t"))).collect()
     assert [r[0] for r in got] == [1.5, 2.5, 0.0, None, None, None, None, 1000.0, None]
     assert [r[1] for r in got] == ["1.5", " 2.5 ", "-0", None, None, "x", "NaN", "1e3", None]
-    days = ["2020-02-29 23:59:59", "2021-02-29 00:00:00", "2020-02-29", "", "20200229 000000"]
+
+
+def test_days_are_those_of_parsing_by_format(spark):
+    days = ["2020-02-29 23:59:59", "2021-02-29 00:00:00", "2020-02-29", "", "20200229 000000",
+            "2020-02-29 00:00:00", "2020-02-29 24:00:00", "2020-02-29 10:60:00", None, "x",
+            "2020-2-29 00:00:00", "2020-02-29T00:00:00", "2020-02-29 00:00:00 ",
+            "2020-02-29 00:00:0Z", "2020-02-29 00:00:00\n", "0000-01-01 00:00:00",
+            "9999-12-31 00:00:00", "-020-02-29 00:00:00", "2020-02-29 00:00:00.5",
+            "1582-10-10 00:00:00", "0001-01-01 00:00:00"]
     frame = spark.createDataFrame([(t,) for t in days], "t string")
-    assert [r[0] for r in frame.select(to_day(F.col("t"))).collect()] == [
-        dt.date(2020, 2, 29), None, None, None, None]
+    by_format = F.try_to_date("t", TIME_FORMAT)
+    got = frame.select(to_day(F.col("t")).cast("string").alias("ours"),
+                       by_format.cast("string").alias("theirs")).collect()
+    assert [r.ours for r in got] == [r.theirs for r in got]
+    assert sum(r.ours is not None for r in got) == 6
 
 
 def test_nested_directories_gzip_and_hidden_names(spark, tmp_path):
@@ -204,11 +215,12 @@ def test_chunked_join_gives_the_broadcast_result(spark, tmp_path, set_conf):
     set_conf("spark.sql.files.maxPartitionBytes", "4096")
     set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     lines = scan_lines(spark, str(tmp_path))
-    layouts = header_slices(file_headers(lines))
+    layouts = spread_slices(header_slices(file_headers(lines)))
     columns = ["DTG", "LOCATION", "TX_DRYB_10"]
-    by_chunk = attach_by_chunk(data_lines(lines), layouts, chunk_bytes=5000)
+    measured = with_narrow(data_lines(lines))
+    by_chunk = attach_by_chunk(measured, layouts, chunk_bytes=5000)
     assert by_chunk.filter(F.col("source").endswith("/hot")).select("chunk").distinct().count() > 5
-    expected = slice_fields(attach_by_broadcast(data_lines(lines), layouts)).select(columns)
+    expected = slice_fields(attach_by_broadcast(measured, layouts)).select(columns)
     got = slice_fields(by_chunk).select(columns)
     assert got.count() == 303
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
@@ -233,6 +245,16 @@ def test_plan_does_not_grow_with_the_number_of_files(spark, tmp_path):
     assert plan_size(1) == plan_size(30)
 
 
+def test_positions_count_characters_not_bytes(spark, tmp_path):
+    names = ["Vlissingen", "Zürich", "Ísafjörður €", "東京"]
+    rows = [observation(TIME + dt.timedelta(minutes=i), 1.5 + i, -i, name=n, U_SEA_10=i)
+            for i, n in enumerate(names)]
+    write(tmp_path / "a", document(rows, [FIELDS[0], "NAME", *FIELDS[1:2], *FIELDS[3:]]))
+    got, _ = read(spark, tmp_path)
+    assert [(r.NAME, r.TX_DRYB_10, r.TN_DRYB_10, r.U_SEA_10) for r in got] == [
+        (n, 1.5 + i, -i, i) for i, n in enumerate(names)]
+
+
 def test_only_needed_fields_are_cut(spark, tmp_path):
     write(tmp_path / "a", document([observation(TIME, 1.0)]))
     found = read_observations(spark, str(tmp_path))
