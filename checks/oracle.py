@@ -213,6 +213,11 @@ ORACLE_SQL: dict[str, str] = {
                                 "year(start_date) = 1999"),
     "coldwaves_by_year": result(ORDERS, ORDER_COLD, "station", ORDER_START_YEAR,
                                 "year(start_date) = 1999"),
+    "period_records": f"""SELECT '{{"station":"' || station || '","From date":"' ||
+        start_date_formatted || '","To date (inc.)":"' || end_date_formatted ||
+        '","Duration (in days)":' || duration || ',"Number of tropical days":' || tropical_days ||
+        ',"Max temperature":' || max_temperature || '}}' AS record
+        FROM ({result(ORDERS, ORDER_HEAT, "station", ORDER_START_YEAR)})""",
     "summary_heatwaves": yearly(ORDER_HEAT),
     "summary_coldwaves": yearly(ORDER_COLD),
     "summary": SUMMARY,
@@ -243,6 +248,7 @@ ORACLE_SQL: dict[str, str] = {
     "period_store": f"""SELECT station, start_date, end_date, duration, extreme_days,
         temperature AS extreme_temperature, kind
         FROM ({both(ORDERS, ORDER_HEAT, ORDER_COLD, ORDER_START_YEAR)})""",
-    "wave_job": f"""SELECT station AS LOCATION, * EXCLUDE station
+    "wave_job": f"""SELECT station AS LOCATION, start_date, end_date, duration, extreme_days,
+        temperature AS extreme_temperature, kind
         FROM ({both(TEXT_OBSERVATIONS, EVENT_HEAT, EVENT_COLD)})""",
 }

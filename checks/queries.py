@@ -21,13 +21,13 @@ from tempspan.operators.daily import (
     daily_extremes, from_start_year, only_station, station_day_readings, station_days,
 )
 from tempspan.operators.periods import (
-    detect, detect_kinds, flag_days, periods_of, run_ids,
+    as_kind, detect, detect_kinds, flag_days, periods_of, run_ids,
 )
 from tempspan.operators.quality import (
     quality_report, quality_totals, quality_totals_of_days, report_rows,
 )
 from tempspan.operators.views import (
-    list_periods, present, summary_json, yearly, yearly_summary,
+    list_periods, present, result_records, summary_json, yearly, yearly_summary,
 )
 from tempspan.plans import job
 from tempspan.rules import COLDWAVE, HEATWAVE
@@ -321,13 +321,9 @@ def q_wave_job(spark, sf):
     rules = [EVENT_HEAT, EVENT_COLD]
     job.run(spark, observation_files(spark, sf), "both", out, station=None, rules=rules,
             rows_shown=0)
-    results = [
-        read_results_csv(spark, f"{out}/{rule.kind}", rule)
-        .toDF("LOCATION", "start_date", "end_date", "duration", "extreme_days", "temperature")
-        .withColumn("kind", F.lit(rule.kind))
-        for rule in rules
-    ]
-    return results[0].unionByName(results[1])
+    hot, cold = [as_kind(read_results_csv(spark, f"{out}/{rule.kind}", rule), rule)
+                 for rule in rules]
+    return hot.unionByName(cold)
 
 
 def order_summary(spark, sf):
@@ -371,6 +367,8 @@ QUERIES: dict[str, Query] = {
         order_waves(s, d, ORDER_HEAT), ORDER_HEAT, "1999", ["station"]),
     "coldwaves_by_year": lambda s, d: list_periods(
         order_waves(s, d, ORDER_COLD), ORDER_COLD, 1999, ["station"]),
+    "period_records": lambda s, d: result_records(list_periods(
+        order_waves(s, d, ORDER_HEAT), ORDER_HEAT, "", ["station"]), ORDER_HEAT),
     "summary_heatwaves": lambda s, d: yearly(order_waves(s, d, ORDER_HEAT), ORDER_HEAT),
     "summary_coldwaves": lambda s, d: yearly(order_waves(s, d, ORDER_COLD), ORDER_COLD),
     "summary": order_summary,

@@ -143,3 +143,12 @@ def of_kind(periods: DataFrame, rule: WaveRule) -> DataFrame:
             "extreme_temperature": rule.temperature_column,
         })
     )
+
+
+def as_kind(periods: DataFrame, rule: WaveRule) -> DataFrame:
+    """The reverse of ``of_kind``: periods of one rule in the form that ``detect_kinds``
+    gives, so that kinds can be put together with ``unionByName``."""
+    return periods.withColumn("kind", F.lit(rule.kind)).withColumnsRenamed({
+        rule.extreme_days_column: "extreme_days",
+        rule.temperature_column: "extreme_temperature",
+    })

@@ -50,6 +50,14 @@ def list_periods(periods: DataFrame, rule: WaveRule, year: int | str | None = No
     return present(periods, rule, keys)
 
 
+def result_records(results: DataFrame, rule: WaveRule,
+                   record: str = "record") -> DataFrame:
+    """Each row of ``present`` as a JSON object under the headings of the result file."""
+    titles = rule.result_titles()
+    cells = [F.col(c).alias(titles.get(c, c)) for c in results.columns]
+    return results.select(F.to_json(F.struct(*cells)).alias(record))
+
+
 def yearly(periods: DataFrame, rule: WaveRule) -> DataFrame:
     """``(year, count, temperature)`` of the periods of one kind by start year."""
     return periods.groupBy(F.year("start_date").alias("year")).agg(

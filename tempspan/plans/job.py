@@ -28,7 +28,7 @@ from tempspan.rules import COLDWAVE, HEATWAVE, WaveRule
 from tempspan.runtime import write_shared
 from tempspan.schema import DEFAULT_START_YEAR, DEFAULT_STATION, DEFAULT_STATION_NAME, STATION
 from tempspan.sinks.files import write_periods, write_results_csv
-from tempspan.sinks.report import print_report
+from tempspan.sinks.report import print_quality, print_report
 from tempspan.sources.archives import read_archives
 from tempspan.sources.inventory import first_files, list_files, summarize_files
 from tempspan.sources.observations import (
@@ -91,8 +91,7 @@ def run(spark: SparkSession, data_dir: str | None, mode: str = "both",
     if check_data_quality:
         days = write_shared(days, "station_days")
         totals = quality_totals_of_days(days, station or DEFAULT_STATION)
-        print("Data Quality Report:")
-        report_rows(totals, station_name).show(truncate=False)
+        print_quality(report_rows(totals, station_name))
 
     found = Observation("found")
     waves = find_waves(days, rules, station, start_year)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,27 @@ def report_lines(results: DataFrame, dates: int = 2, line: str = "line") -> Data
     return results.select(F.format_string(" | ".join(cells), *results.columns).alias(line))
 
 
+def quality_lines(report: DataFrame, line: str = "line") -> DataFrame:
+    """One text line per row of the quality report."""
+    def cell(text: str, *columns: str) -> Column:
+        known = F.col(columns[0]).isNotNull()
+        return F.when(known, F.format_string(text, *columns)).otherwise("")
+
+    return report.select(F.format_string(
+        "%-30s %-15s %-15s %-30s %-15s", "metric",
+        cell("%d", "count"), cell("%.2f%%", "percentage"),
+        cell("Min: %.2f, Max: %.2f", "min", "max"), cell("Avg: %.2f", "avg"),
+    ).alias(line))
+
+
+def print_quality(report: DataFrame) -> None:
+    titles = "%-30s %-15s %-15s %-30s %-15s" % (
+        "Metric", "Count", "Percentage", "Range", "Average")
+    print(f"\nData Quality Report:\n{'-' * 105}\n{titles}\n{'-' * 105}")
+    for row in quality_lines(report).toLocalIterator():
+        print(row[0])
+
+
 def print_report(results: DataFrame, title: str, titles: Sequence[str], rows: int) -> None:
     """Print a title, the heading and the first ``rows`` rows. The files hold all rows."""
     print(f"\n{title}\n{'=' * 80}\n{heading(titles, len(titles) - 3)}\n{'-' * 80}")

@@ -337,5 +337,5 @@ def test_layout_size_bounds_what_is_broadcast(spark, tmp_path):
     write(tmp_path / "a", document([observation(TIME, 1.0)]))
     headers = file_headers(scan_lines(spark, str(tmp_path)))
     size = obs.layout_bytes(headers)
-    assert len(str(tmp_path)) + 136 < size < 1000
+    assert len(str(tmp_path)) + 272 < size < 1000
     assert HEADER_TEXT not in headers.first().header

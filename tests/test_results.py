@@ -10,10 +10,11 @@ from tempspan import (
 )
 from tempspan.operators.daily import station_days
 from tempspan.operators.quality import quality_totals_of_days, report_rows
-from tempspan.operators.views import parse_year, yearly
+from tempspan.operators.periods import as_kind, of_kind
+from tempspan.operators.views import parse_year, result_records, yearly
 from tempspan.plans import job
 from tempspan.runtime import fresh_folder, shared_folder, write_shared
-from tempspan.sinks.report import print_report
+from tempspan.sinks.report import print_report, quality_lines
 from tests.files import (
     FIELDS, GOLDEN_COLD, GOLDEN_HOT, document, golden_observations, write,
 )
@@ -87,6 +88,16 @@ def test_quality_report_without_readings(spark, rows):
         assert tuple(got["TX_DRYB_10 - Statistics"])[1:] == (None,) * 5
 
 
+def test_quality_lines(spark):
+    rows = [("260_T_a", None, 1.0, None), ("260_T_a", None, 2.5, None), ("b", None, 1.0, 1.0)]
+    report = quality_report(spark.createDataFrame(rows, OBSERVATIONS))
+    lines = [r.line.rstrip() for r in quality_lines(report).collect()]
+    assert lines[0] == "Total Records                  3"
+    assert lines[1].split() == ["De", "Bilt", "Station", "Records", "2", "66.67%"]
+    assert lines[4].split(None, 3)[3].startswith("Min: 1.00, Max: 2.50")
+    assert lines[4].endswith("Avg: 1.75") and lines[6].endswith("Statistics")
+
+
 # Views
 
 def test_year_argument(spark):
@@ -121,6 +132,22 @@ def test_yearly_summary_and_json(spark):
     assert parsed["coldwaves"] == {"2012": {"count": 1, "min_temperature": -18.9}}
 
 
+def test_records_and_summary_from_result_files(spark, tmp_path):
+    parts = []
+    for rule in (HEATWAVE, COLDWAVE):
+        results = present(of_kind(golden_periods(spark), rule), rule, keys=())
+        records = [json.loads(r.record) for r in result_records(results, rule).collect()]
+        assert list(records[0]) == list(rule.result_titles().values())
+        write_results_csv(results, str(tmp_path / rule.kind), rule)
+        back = read_results_csv(spark, str(tmp_path / rule.kind), rule, keys=())
+        parts.append(as_kind(back, rule))
+    assert records == [{"From date": "30 Jan 2012", "To date (inc.)": "08 Feb 2012",
+                        "Duration (in days)": 10, "Number of high frost days": 5,
+                        "Min temperature": -18.9}]
+    from_files = yearly_summary(parts[0].unionByName(parts[1]))
+    assert sorted(from_files.collect()) == sorted(yearly_summary(golden_periods(spark)).collect())
+
+
 def test_summary_of_nothing(spark):
     nothing = yearly_summary(spark.createDataFrame([], PERIODS))
     assert summary_json(nothing).first().summary == '{"heatwaves":{},"coldwaves":{}}'
