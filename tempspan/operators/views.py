@@ -17,10 +17,12 @@ def present(periods: DataFrame, rule: WaveRule,
     """Result rows of ``detect`` in start-date order, with dates as ``dd MMM yyyy``.
 
     Keys break ties, so the order is the same on every run. Pass ``keys=()`` for the
-    five result columns alone.
+    five result columns alone. A global sort first samples its input; the few result rows
+    are exchanged before it, so that the sampling does not repeat the detection.
     """
     ties = [c for c in periods.columns if c in (*keys, "end_date")]
-    return periods.orderBy("start_date", *ties).select(
+    settled = periods.repartition("start_date", *ties)
+    return settled.orderBy("start_date", *ties).select(
         *keys,
         result_date(F.col("start_date")).alias("start_date_formatted"),
         result_date(F.col("end_date")).alias("end_date_formatted"),
