@@ -74,6 +74,17 @@ def station_days(observations: DataFrame, keys: Sequence[str] = (STATION,),
     )
 
 
+def fold_other_stations(observations: DataFrame, code: object, station: str = STATION,
+                        columns: Sequence[str] = (STATION, DAY, TX, TN)) -> DataFrame:
+    """All rows, with ``columns`` NULL in those of other stations.
+
+    For a report on one station among all: its ``station_days`` are unchanged, and the
+    rows of the other stations, of which only the number matters, become one group.
+    """
+    here = F.col(station) == F.lit(code)
+    return observations.withColumns({c: F.when(here, F.col(c)) for c in columns})
+
+
 def _moments(reading: Column, name: str) -> list[Column]:
     return [
         F.count(reading).alias(f"{name}_count"),

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from tempspan.functions.columns import percentage
 from tempspan.schema import DAY, DEFAULT_STATION, DEFAULT_STATION_NAME, STATION, TN, TX
 
+# How the rows of the report are called.
+TOTAL, AT_STATION = "Total Records", "{name} Station Records"
+NULLS, STATISTICS = "{column} - Null Values", "{column} - Statistics"
+
 REPORT_COLUMNS = ("metric", "count", "percentage", "min", "max", "avg")
 
 
@@ -82,15 +86,15 @@ def report_rows(totals: DataFrame, station_name: str = DEFAULT_STATION_NAME,
         return _row(metric, count=F.col(count), percentage=share)
 
     def nulls(column: str, count: str) -> Column:
-        return counted(f"{column} - Null Values", count, percentage(F.col(count), at_station))
+        return counted(NULLS.format(column=column), count, percentage(F.col(count), at_station))
 
     def statistics(column: str, name: str) -> Column:
-        return _row(f"{column} - Statistics", min=F.col(f"{name}_min"),
+        return _row(STATISTICS.format(column=column), min=F.col(f"{name}_min"),
                     max=F.col(f"{name}_max"), avg=F.col(f"{name}_avg"))
 
     rows = [
-        counted("Total Records", "total"),
-        counted(f"{station_name} Station Records", "station",
+        counted(TOTAL, "total"),
+        counted(AT_STATION.format(name=station_name), "station",
                 percentage(at_station, F.col("total"))),
         nulls(station, "station_nulls"),
         nulls(tx, "tx_nulls"),

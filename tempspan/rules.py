@@ -8,6 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The headings that the results of every rule share, in a file and in print.
+FILE_TITLES = {
+    "start_date_formatted": "From date",
+    "end_date_formatted": "To date (inc.)",
+    "duration": "Duration (in days)",
+}
+PRINT_TITLES = ["From date", "To date (inc.)", "Duration (days)"]
+
+
 @dataclass(frozen=True)
 class WaveRule:
     """A period is a run of at least ``min_duration`` consecutive qualifying days, of
@@ -59,16 +68,13 @@ class WaveRule:
     def result_titles(self) -> dict[str, str]:
         """Column headings of the result file, keyed by result column."""
         return {
-            "start_date_formatted": "From date",
-            "end_date_formatted": "To date (inc.)",
-            "duration": "Duration (in days)",
+            **FILE_TITLES,
             self.extreme_days_column: self.extreme_days_title,
             self.temperature_column: self.temperature_title,
         }
 
     def report_titles(self) -> list[str]:
-        return ["From date", "To date (inc.)", "Duration (days)",
-                self.report_extreme_title, self.report_temperature_title]
+        return [*PRINT_TITLES, self.report_extreme_title, self.report_temperature_title]
 
 
 # The two published definitions and their result headings.

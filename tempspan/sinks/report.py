@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: what is printed in place of an empty result.
 NO_RESULTS = "No results found."
 
 

@@ -8,7 +8,7 @@ from tempspan import (
     COLDWAVE, HEATWAVE, list_periods, present, quality_report, read_periods, read_results_csv,
     report_lines, summary_json, write_periods, write_results_csv, yearly_summary,
 )
-from tempspan.operators.daily import station_days
+from tempspan.operators.daily import fold_other_stations, station_days
 from tempspan.operators.quality import quality_totals_of_days, report_rows
 from tempspan.operators.periods import as_kind, of_kind
 from tempspan.operators.views import parse_year, result_records, yearly
@@ -68,7 +68,10 @@ def test_quality_report(spark):
         ("DATE - Null Values", 1, 100 / 3, None, None, None),
     ]
     of_days = report_rows(quality_totals_of_days(station_days(frame)))
-    for report in (quality_report(frame), of_days):
+    folded = station_days(fold_other_stations(frame, "260_T_a"))
+    assert folded.count() == 3
+    of_folded = report_rows(quality_totals_of_days(folded))
+    for report in (quality_report(frame), of_days, of_folded):
         assert report.columns == ["metric", "count", "percentage", "min", "max", "avg"]
         got = [tuple(r) for r in report.collect()]
         assert got == [tuple(pytest.approx(v) if isinstance(v, float) else v for v in row)
