@@ -20,7 +20,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.functions.columns import blank_to_null, to_day, to_double
@@ -105,10 +105,10 @@ def spread_slices(layouts: DataFrame,
     code that cuts all fields small enough for the JVM to compile.
     """
     others = [c for c in layouts.columns if c not in ("starts", "lengths")]
-    return layouts.select(
+    return layouts.selectExpr(
         *others,
-        *[F.col("starts")[i].alias(f"{f}_start") for i, f in enumerate(fields)],
-        *[F.col("lengths")[i].alias(f"{f}_length") for i, f in enumerate(fields)],
+        *[f"starts[{i}] AS {f}_start" for i, f in enumerate(fields)],
+        *[f"lengths[{i}] AS {f}_length" for i, f in enumerate(fields)],
     )
 
 
@@ -137,14 +137,10 @@ def slice_fields(lines: DataFrame, fields: Sequence[str] = tuple(OBSERVATION_FIE
     Positions count characters. Spark finds a character by walking from the start of the
     text, so ``narrow`` lines are cut by bytes instead, which it reaches directly.
     """
-    text, octets = F.col(line), F.col(line).cast("binary")
-
-    def cut(field: str) -> Column:
-        start, length = F.col(f"{field}_start"), F.col(f"{field}_length")
-        by_byte = F.substring(octets, start, length).cast("string")
-        return F.when(F.col("narrow"), by_byte).otherwise(F.substring(text, start, length))
-
-    return lines.select(*[F.trim(cut(field)).alias(field) for field in fields])
+    cut = """trim(CASE WHEN narrow
+        THEN CAST(substring(CAST({line} AS BINARY), {field}_start, {field}_length) AS STRING)
+        ELSE substring({line}, {field}_start, {field}_length) END) AS {field}"""
+    return lines.selectExpr(*[cut.format(line=line, field=field) for field in fields])
 
 
 def cast_fields(fields: DataFrame,
