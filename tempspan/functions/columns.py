@@ -6,6 +6,8 @@ or not the session runs in ANSI mode.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,14 @@ def parse_result_date(text: Column) -> Column:
     return F.try_to_date(text, RESULT_DATE_FORMAT)
 
 
+def in_year(day: Column, year: int) -> Column:
+    """Whether the day lies in the year, as a range that Parquet can prune by; no day
+    lies in a year that the calendar does not have."""
+    if not dt.MINYEAR <= year <= dt.MAXYEAR:
+        return F.lit(False)
+    return day.between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31)))
+
+
 def day_number(day: Column) -> Column:
     """Days since 1970-01-01."""
     return F.unix_date(day)

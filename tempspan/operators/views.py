@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempspan.functions.columns import result_date
+from tempspan.functions.columns import in_year, result_date
 from tempspan.rules import RULES, WaveRule
 from tempspan.schema import STATION
 
@@ -48,7 +48,7 @@ def list_periods(periods: DataFrame, rule: WaveRule, year: int | str | None = No
     """
     wanted = parse_year(year)
     if wanted is not None:
-        periods = periods.filter(F.year("start_date") == wanted)
+        periods = periods.filter(in_year(F.col("start_date"), wanted))
     return present(periods, rule, keys)
 
 

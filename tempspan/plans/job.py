@@ -58,7 +58,11 @@ def find_waves(days: DataFrame, rules: Sequence[WaveRule], station: str | None,
 
 def check_input(spark: SparkSession, path: str) -> bool:
     """Whether there are input files; logs how many, and the first few."""
-    files = list_files(spark, path)
+    try:
+        files = list_files(spark, path)
+    except FileNotFoundError:
+        log.warning("%s does not exist", path)
+        return False
     found = summarize_files(files).first()
     log.info("%d files, %d bytes in %s", found["files"], found["bytes"], path)
     for row in first_files(files).toLocalIterator():
@@ -142,7 +146,9 @@ def main(arguments: Sequence[str] | None = None) -> int:
     spark = SparkSession.builder.appName("tempspan").getOrCreate()
     data_dir = None if options.archives else options.data_dir
     try:
-        check_input(spark, options.archives or options.data_dir)
+        if not check_input(spark, options.archives or options.data_dir):
+            log.error("no input files")
+            return 1
         run(spark, data_dir, options.mode, options.output_dir, options.check_data_quality,
             None if options.all_stations else options.station, options.station_name,
             options.start_year, options.archives)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +12,18 @@ def list_files(spark: SparkSession, path: str | list[str],
     """``(source, size)`` of every file below ``path``. File contents are not read.
 
     Spark's readers pass over files of zero bytes and names that start with ``_`` or ``.``.
+    Raises FileNotFoundError when there is no such path.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(
+    try:
+        found = reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(str(path)) from error
+        raise
+    return found.select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_size").alias("size"),
     )

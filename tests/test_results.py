@@ -111,7 +111,8 @@ def test_year_argument(spark):
     assert list_periods(periods, HEATWAVE).count() == 9
     assert [r.start_date_formatted for r in list_periods(periods, HEATWAVE, "2006").collect()] == [
         "30 Jun 2006", "15 Jul 2006"]
-    assert list_periods(periods, HEATWAVE, 1999).collect() == []
+    for year in (1999, 0, -5, 10**12):
+        assert list_periods(periods, HEATWAVE, year).collect() == []
 
 
 def test_period_over_new_year_counts_in_its_first_year(spark):
@@ -196,6 +197,9 @@ def test_period_store_by_kind(spark, tmp_path):
     assert [(r.kind, r.duration) for r in back.collect()] == [("coldwaves", 10)]
     plan = back.filter("kind = 'coldwaves'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(kind" in plan
+    one_year = list_periods(of_kind(back, COLDWAVE), COLDWAVE, 2012)
+    plan = one_year._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(start_date,2012-01-01)" in plan and one_year.count() == 1
 
 
 def test_report_lines(spark, capsys):
@@ -283,6 +287,13 @@ def test_job_without_results(spark, golden_input, tmp_path, capsys):
     assert capsys.readouterr().out.count("No results found.") == 2
 
 
+def test_job_without_input(spark, tmp_path):
+    assert not job.check_input(spark, str(tmp_path / "nothing"))
+    assert not job.check_input(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        job.run(spark, str(tmp_path / "nothing"))
+
+
 def test_job_on_archives(spark, golden_input, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     with tarfile.open(tmp_path / "in" / "data.tgz", "w:gz") as archive:
