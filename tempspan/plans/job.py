@@ -70,10 +70,11 @@ def check_input(spark: SparkSession, path: str) -> bool:
     return found["files"] > 0
 
 
-def load(spark: SparkSession, data_dir: str | None, archives: str | None) -> Ingested:
+def load(spark: SparkSession, data_dir: str | None, archives: str | None,
+         skip_damaged: bool = True) -> Ingested:
     parts = []
     if data_dir is not None:
-        parts.append(read_observations(spark, data_dir))
+        parts.append(read_observations(spark, data_dir, skip_damaged=skip_damaged))
     if archives is not None:
         parts.append(observations_from_lines(read_archives(spark, archives)))
     if not parts:
@@ -86,9 +87,10 @@ def run(spark: SparkSession, data_dir: str | None, mode: str = "both",
         output_dir: str = "results", check_data_quality: bool = False,
         station: str | None = DEFAULT_STATION, station_name: str = DEFAULT_STATION_NAME,
         start_year: int = DEFAULT_START_YEAR, archives: str | None = None,
+        skip_damaged: bool = True,
         rules: Sequence[WaveRule] = (HEATWAVE, COLDWAVE), rows_shown: int = ROWS_SHOWN) -> None:
     rules = [rule for rule in rules if rule.kind in MODES[mode]]
-    ingested = load(spark, data_dir, archives)
+    ingested = load(spark, data_dir, archives, skip_damaged)
     for row in ingested.rejects.take(REJECTS_SHOWN):
         log.warning("skipped %s - no header", row["source"])
 
@@ -134,6 +136,8 @@ def parse_arguments(arguments: Sequence[str] | None = None) -> argparse.Namespac
     parser.add_argument("--all-stations", action="store_true")
     parser.add_argument("--start-year", type=int, default=DEFAULT_START_YEAR)
     parser.add_argument("--check-data-quality", action="store_true")
+    parser.add_argument("--fail-on-damage", action="store_true",
+                        help="fail on a damaged file instead of reading up to the damage")
     parser.add_argument("--log-level", choices=["DEBUG", "INFO", "WARNING", "ERROR"],
                         default="INFO")
     return parser.parse_args(arguments)
@@ -151,7 +155,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
             return 1
         run(spark, data_dir, options.mode, options.output_dir, options.check_data_quality,
             None if options.all_stations else options.station, options.station_name,
-            options.start_year, options.archives)
+            options.start_year, options.archives, not options.fail_on_damage)
     except Exception:
         log.exception("job failed")
         return 1

@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from tempspan.schema import HEADER_MARK
 
 
-def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_lines(spark: SparkSession, path: str | list[str],
+               skip_damaged: bool = True) -> DataFrame:
     """All lines of all files below ``path``, as ``schema.LINES``.
 
     One scan with one plan however many files there are, and large uncompressed files are
-    split over tasks. Spark passes over names that start with ``_`` or ``.``. A damaged
-    compressed file does not fail the job; the lines before the damage are kept.
+    split over tasks. Spark passes over names that start with ``_`` or ``.``.
+
+    A file that cannot be read further, such as a damaged compressed one, does not fail
+    the job; the lines before the damage are kept. With ``skip_damaged=False`` it does
+    fail, which also tells damage from a storage system that is out of order.
     """
     return (
         spark.read
         .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", skip_damaged)
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("source"),

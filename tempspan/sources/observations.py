@@ -42,6 +42,7 @@ class Ingested(NamedTuple):
 
 
 def read_observations(spark: SparkSession, path: str | list[str], clip_last: bool = True,
+                      skip_damaged: bool = True,
                       broadcast_limit: int = BROADCAST_LIMIT) -> Ingested:
     """Read every observation file below ``path``.
 
@@ -49,7 +50,8 @@ def read_observations(spark: SparkSession, path: str | list[str], clip_last: boo
     header; a file without a header is otherwise left out and listed in ``rejects``.
     """
     files = list_files(spark, path)
-    return _ingest(scan_lines(spark, path), files, clip_last, broadcast_limit)
+    lines = scan_lines(spark, path, skip_damaged)
+    return _ingest(lines, files, clip_last, broadcast_limit)
 
 
 def observations_from_lines(lines: DataFrame, clip_last: bool = True,

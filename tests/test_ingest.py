@@ -198,6 +198,17 @@ def test_damaged_file_does_not_fail_the_rest(spark, tmp_path):
     rows, found = read(spark, tmp_path)
     assert [r.TX_DRYB_10 for r in rows] == [1.0]
     assert names(found.rejects) == ["b.gz"]
+    with pytest.raises(Exception, match="b.gz|gzip"):
+        read_observations(spark, str(tmp_path), skip_damaged=False)
+
+
+def test_lines_before_the_damage_are_kept(spark, tmp_path):
+    many = [observation(TIME + dt.timedelta(minutes=10 * i), f"{i * 7919 % 1000}.5")
+            for i in range(3000)]
+    packed = gzip.compress(document(many).encode())
+    (tmp_path / "a.gz").write_bytes(packed[: len(packed) // 2])
+    rows, _ = read(spark, tmp_path)
+    assert 0 < len(rows) < 3000 and rows[0].TX_DRYB_10 == 0.5
 
 
 def test_names_with_spaces_and_repeated_rows(spark, tmp_path):
