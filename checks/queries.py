@@ -42,7 +42,7 @@ from tempspan.sources.headers import detect_headers, header_slices, without_head
 from tempspan.sources.inventory import first_files, list_files
 from tempspan.sources.lines import data_lines, explode_lines, scan_lines
 from tempspan.sources.observations import (
-    attach_layouts, cast_fields, derive_day, file_headers, layout_bytes, read_observations,
+    attach_layouts, cast_fields, derive_day, file_headers, read_observations,
     require_keys, slice_fields, union_sources,
 )
 
@@ -145,9 +145,10 @@ def q_header_offsets(spark, sf):
 
 
 def text_fields(spark, sf):
-    lines = scan_lines(spark, observation_files(spark, sf))
+    root = observation_files(spark, sf)
+    lines = scan_lines(spark, root)
     headers = write_shared(file_headers(lines), "headers")
-    return slice_fields(attach_layouts(data_lines(lines), headers, layout_bytes(headers)))
+    return slice_fields(attach_layouts(data_lines(lines), headers, list_files(spark, root)))
 
 
 def q_fixed_width_parse(spark, sf):

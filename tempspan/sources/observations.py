@@ -2,12 +2,15 @@
 
 Two scans of the text, whatever the number of files: one that keeps comment lines only
 and yields one header per file, and one that reads the data. The headers are written to
-the shared folder in between, so their exact size decides how the lines get their slices:
+the shared folder in between, so exact sizes decide how the lines get their slices:
 
-* up to ``broadcast_limit`` bytes they are broadcast, and the lines do not move;
-* beyond it lines and headers meet in a shuffled join by file *and* chunk of the file. A
-  chunk holds at most ``CHUNK_BYTES`` of text, so no key grows with the size of a file,
-  also when one file holds a third of everything.
+1. Up to ``broadcast_limit`` bytes the slices of all files are broadcast, and the lines
+   do not move.
+2. With more files than that, those that differ from the most common header are
+   broadcast, when they stay within the limit, and all others get its slices.
+3. Beyond that, lines and headers meet in a shuffled join by file *and* chunk of the file.
+   A chunk holds at most ``CHUNK_BYTES`` of text, so no key grows with the size of a file,
+   also when one file holds a third of everything.
 
 Departures from a plain left-to-right reading of the format, on purpose: see ``headers``
 for missing and reordered fields, and ``to_double`` for NaN.
@@ -69,8 +72,8 @@ def _ingest(lines: DataFrame, sources: DataFrame, clip_last: bool,
         if sources.isEmpty():
             raise FileNotFoundError("no input files")
         raise ValueError("no input file has a header")
-    sliced = attach_layouts(data_lines(lines), headers, bytes_of_headers, clip_last,
-                            broadcast_limit)
+    sliced = attach_layouts(data_lines(lines), headers, sources, clip_last, broadcast_limit,
+                            bytes_of_headers)
     observations = derive_day(require_keys(cast_fields(slice_fields(sliced))))
     rejects = without_header(sources, headers).select("source", "size")
     return Ingested(observations, rejects)
@@ -88,15 +91,36 @@ def layout_bytes(headers: DataFrame) -> int:
     return headers.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
 
 
-def attach_layouts(lines: DataFrame, headers: DataFrame, bytes_of_headers: int,
-                   clip_last: bool = True,
-                   broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+def attach_layouts(lines: DataFrame, headers: DataFrame, sources: DataFrame,
+                   clip_last: bool = True, broadcast_limit: int = BROADCAST_LIMIT,
+                   bytes_of_headers: int | None = None) -> DataFrame:
     """Give every line the slices of its file; lines of files without a header go."""
-    layouts = spread_slices(header_slices(headers, clip_last=clip_last))
+    def slices(frame: DataFrame) -> DataFrame:
+        return spread_slices(header_slices(frame, clip_last=clip_last))
+
     measured = with_narrow(lines)
+    if bytes_of_headers is None:
+        bytes_of_headers = layout_bytes(headers)
     if bytes_of_headers <= broadcast_limit:
-        return attach_by_broadcast(measured, layouts)
-    return attach_by_chunk(measured, layouts)
+        return attach_by_broadcast(measured, slices(headers))
+    common = most_common(headers)
+    others = write_shared(differing(sources, headers, common), "differing_headers")
+    if layout_bytes(others) <= broadcast_limit:
+        default = slices(lines.sparkSession.createDataFrame([(common,)], "header string"))
+        return attach_by_difference(measured, slices(others), default.first().asDict())
+    return attach_by_chunk(measured, slices(headers))
+
+
+def most_common(headers: DataFrame) -> str:
+    counts = headers.groupBy("header").count()
+    return counts.orderBy(F.desc("count"), "header").first()["header"]
+
+
+def differing(sources: DataFrame, headers: DataFrame, common: str) -> DataFrame:
+    """``(source, header, has_header)`` of the files whose header is not ``common``."""
+    known = sources.select("source").join(headers.select("source", "header"), "source", "left")
+    return known.filter(~F.col("header").eqNullSafe(common)).withColumn(
+        "has_header", F.col("header").isNotNull())
 
 
 def spread_slices(layouts: DataFrame,
@@ -123,6 +147,18 @@ def attach_by_broadcast(lines: DataFrame, layouts: DataFrame) -> DataFrame:
     return lines.join(F.broadcast(layouts.drop("size")), "source")
 
 
+def attach_by_difference(lines: DataFrame, others: DataFrame,
+                         default: Mapping[str, int | None]) -> DataFrame:
+    """Slices from ``others`` for the files listed there, else the default ones."""
+    joined = lines.join(F.broadcast(others), "source", "left")
+    joined = joined.filter(F.coalesce("has_header", F.lit(True)))
+    listed = F.col("has_header").isNotNull()
+    return joined.withColumns({
+        column: F.when(listed, F.col(column)).otherwise(F.lit(value).cast("int"))
+        for column, value in default.items()
+    })
+
+
 def attach_by_chunk(lines: DataFrame, layouts: DataFrame,
                     chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     chunk_of = F.floor(F.col("offset") / chunk_bytes)

@@ -237,14 +237,37 @@ def test_chunked_join_gives_the_broadcast_result(spark, tmp_path, set_conf):
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
-def test_headers_above_the_limit_are_not_broadcast(spark, tmp_path, set_conf):
-    write(tmp_path / "a", document([observation(TIME, 1.0)]))
+@pytest.fixture()
+def mixed_files(tmp_path):
+    """Many files with one header, and one each with another, fewer fields, and none."""
+    for i in range(12):
+        write(tmp_path / f"same{i}", document([observation(TIME, float(i), T_WETB_10=i)]))
+    write(tmp_path / "other", document([observation(TIME, 50.0, T_WETB_10=1)], default=27))
+    few = ["DTG", "LOCATION", "TX_DRYB_10"]
+    write(tmp_path / "few", document([observation(TIME, 60.0)], few))
+    write(tmp_path / "none", document([observation(TIME, 99.0)], head=False))
+    return tmp_path
+
+
+def layout_plan(spark, path, limit):
+    found = read_observations(spark, str(path), broadcast_limit=limit)
+    rows = sorted((r.TX_DRYB_10, r.T_WETB_10, r.NAME) for r in found.observations.collect())
+    return rows, found.observations._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_ways_to_attach_slices_agree(spark, mixed_files, set_conf):
     set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     set_conf("spark.sql.adaptive.enabled", "false")
-    found = read_observations(spark, str(tmp_path), broadcast_limit=10)
-    plan = found.observations._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-    assert [r.TX_DRYB_10 for r in found.observations.collect()] == [1.0]
+    per_file = obs.layout_bytes(file_headers(scan_lines(spark, str(mixed_files)))) // 14
+    all_files, plan = layout_plan(spark, mixed_files, 10**9)
+    assert "Join Inner" in plan and "strategy=broadcast" in plan
+    assert [r[0] for r in all_files] == [*map(float, range(12)), 50.0, 60.0]
+    assert all_files[-1][1:] == (None, None) and all_files[-2][1:] == (1.0, "De Bilt")
+    only_others, plan = layout_plan(spark, mixed_files, 5 * per_file)
+    assert "Join LeftOuter" in plan and "strategy=broadcast" in plan
+    by_chunk, plan = layout_plan(spark, mixed_files, 10)
+    assert "Join Inner" in plan and "chunk" in plan and "strategy=broadcast" not in plan
+    assert all_files == only_others == by_chunk
 
 
 def test_plan_does_not_grow_with_the_number_of_files(spark, tmp_path):
