@@ -47,7 +47,7 @@ def run_ids(days: DataFrame, keys: Sequence[str] = (STATION,), day: str = DAY,
 def consecutive_periods(days: DataFrame, condition: Column, extreme: Column,
                         reading: Column, keys: Sequence[str] = (STATION,), day: str = DAY,
                         repeated_days: bool = False) -> DataFrame:
-    """Maximal runs of consecutive days that meet ``condition``.
+    """Maximal runs of consecutive days that meet ``condition``; rows without a day go.
 
     Result: keys, ``group_id, start_date, end_date, duration, extreme_days, highest,
     lowest``: the days of the run that meet ``extreme``, and the bounds of ``reading``.
@@ -56,7 +56,7 @@ def consecutive_periods(days: DataFrame, condition: Column, extreme: Column,
     ``repeated_days`` it may have more: a day then counts when any of its rows does, and
     the rows are merged before the shuffle by keys.
     """
-    qualifying = days.filter(condition).select(
+    qualifying = days.filter(condition & F.col(day).isNotNull()).select(
         *keys, day, extreme.alias("is_extreme"), reading.alias("reading"))
     highest = lowest = "reading"
     if repeated_days:

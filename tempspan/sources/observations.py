@@ -86,8 +86,11 @@ def file_headers(lines: DataFrame) -> DataFrame:
 
 
 def layout_bytes(headers: DataFrame) -> int:
-    """Upper bound of the memory that the slices of these headers take, 0 for none."""
-    per_row = F.octet_length("source") + 2 * 8 * len(OBSERVATION_FIELDS) + 128
+    """Upper bound of the memory that the slices of these headers take, 0 for none.
+
+    A broadcast row holds its key twice and eight bytes per number.
+    """
+    per_row = 2 * F.octet_length("source") + 2 * 8 * len(OBSERVATION_FIELDS) + 128
     return headers.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
 
 

@@ -108,6 +108,34 @@ def test_repeated_days(spark):
     assert (row.duration, row.extreme_days, row.highest, row.lowest) == (3, 2, 32.0, 26.0)
 
 
+def test_rows_without_a_day_are_in_no_run(spark):
+    days = frame(spark, series([30.0] * 5) + [("a", None, 40.0, 40.0)])
+    assert [(r.duration, r.max_temperature) for r in periods_of(days, HEATWAVE).collect()] == [
+        (5, 30.0)]
+
+
+def test_hot_station_among_many(spark):
+    """A third of all observations at one station, and the same periods as by hand."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(
+            (F.col("id") % 97).cast("string")).alias("LOCATION"),
+        F.date_add(F.lit(D0), F.pmod(F.hash("id"), F.lit(100))).alias("DATE"),
+        (F.pmod(F.hash("id", F.lit(1)), F.lit(320)) / 10.0).alias("TX_DRYB_10"))
+    rule = dataclasses.replace(HEATWAVE, temp_threshold=25.0, extreme_temp_threshold=30.0)
+    got = {tuple(r)[:6] for r in detect(daily_extremes(rows), rule, tn=None).collect()}
+    best = {}
+    for r in rows.collect():
+        key = (r.LOCATION, r.DATE)
+        best[key] = max(best.get(key, -99.0), r.TX_DRYB_10)
+    expected = set()
+    for station in {s for s, _ in best}:
+        values = [best.get((station, D0 + dt.timedelta(i))) for i in range(100)]
+        expected |= {(station, *run) for run in runs_by_hand(values, rule)
+                     if run[2] >= 5 and run[3] >= 3}
+    assert got == expected and len(expected) > 20
+    assert any(station == "hot" for station, *_ in expected)
+
+
 def test_flags(spark):
     days = frame(spark, [("a", D0, 25.0, 3.0), ("a", D0, None, None), ("a", D0, -1.0, -11.0)])
     flags = flag_days(days, HEATWAVE, "is_hot", "is_tropical")
