@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempspan.llm.byte_bpe import encode_and_decode
 from tempspan.llm.quality_rules import apply_quality_rules
 from tempspan.llm.tables import read_table
+from tempspan.llm.token_counts import with_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +23,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return with_token_counts(documents, path, public_tokenizers.PATTERN).select(
+        "doc_id", "n_bytes", "n_tokens", "over_limit"
+    )
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_and_decode(documents, path, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op7_token_counts": op7_token_counts,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
