@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.llm.byte_bpe import encode_and_decode
+from tempspan.llm.html_text import with_main_text
 from tempspan.llm.quality_rules import apply_quality_rules
 from tempspan.llm.tables import read_table
 from tempspan.llm.token_counts import with_token_counts
@@ -23,6 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_main_text(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +47,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_html_text": op2_html_text,
     "op7_token_counts": op7_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
 }
