@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tempspan.llm.byte_bpe import encode_and_decode
 from tempspan.llm.html_text import with_main_text
+from tempspan.llm.jaccard_join import jaccard_join
 from tempspan.llm.language_id import identify_languages
 from tempspan.llm.quality_rules import apply_quality_rules
 from tempspan.llm.tables import read_table
@@ -29,6 +30,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_main_text(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_languages(documents).select("doc_id", "held_out", "lang_pred", "score")
@@ -54,6 +59,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_text": op2_html_text,
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
