@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.llm.byte_bpe import encode_and_decode
+from tempspan.llm.decontamination import decontaminate
 from tempspan.llm.html_text import with_main_text
 from tempspan.llm.jaccard_join import jaccard_join
 from tempspan.llm.language_id import identify_languages
@@ -34,6 +35,13 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate(documents, read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "contaminated", "n_regions", "item_ids"
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify_languages(documents).select("doc_id", "held_out", "lang_pred", "score")
@@ -60,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_text": op2_html_text,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
