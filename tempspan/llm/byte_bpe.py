@@ -42,29 +42,41 @@ REMEMBERED = 600_000
 REMEMBERED_BYTES = 128
 #: Text that is worked on at once, and rows that one DuckDB query gets.
 PORTION_BYTES = 4_000_000
-QUERY_SYMBOLS = 400_000
-PLACES = 1 << 20
+QUERY_SYMBOLS = 300_000
+POSITION_BITS = 10
+POSITIONS = (1 << POSITION_BITS) - 1
 
+# A place is the word's number and, in the low bits, the position; a cost is the joined
+# symbol, which is its rank, and the position, so that the least cost is the pair to merge.
 MERGE = f"""
-WITH RECURSIVE merged(word, pos, symbol, n_round) AS (
-    SELECT word, pos, symbol, 0 FROM symbols
+WITH RECURSIVE merged(place, symbol, n_round) AS (
+    SELECT place, symbol, 0 FROM symbols
     UNION ALL
-    SELECT word, pos,
-           (CASE WHEN pos = best % {PLACES} THEN best // {PLACES} ELSE symbol END)::INTEGER,
-           n_round + 1
-    FROM (
-        SELECT word, pos, symbol, n_round, pos_before,
-               min(joined::BIGINT * {PLACES} + pos) OVER (PARTITION BY word) AS best
+    (WITH pairs AS MATERIALIZED (
+        SELECT place, symbol, n_round, before,
+               (joined::BIGINT << {POSITION_BITS}) | (place & {POSITIONS}) AS cost
         FROM (
-            SELECT *, lead(symbol) OVER near AS symbol_after, lag(pos) OVER near AS pos_before
-            FROM merged WINDOW near AS (PARTITION BY word ORDER BY pos)
-        ) LEFT JOIN merge_table ON pair = (symbol::BIGINT << 32) | symbol_after
+            SELECT *, lead(symbol) OVER near AS symbol_after,
+                   lag(place) OVER near AS before, lead(place) OVER near AS after
+            FROM merged WINDOW near AS (ORDER BY place)
+        ) LEFT JOIN merge_table ON pair =
+            CASE WHEN (place >> {POSITION_BITS}) = (after >> {POSITION_BITS})
+                 THEN (symbol::BIGINT << 32) | symbol_after END
+    ), chosen AS (
+        SELECT place >> {POSITION_BITS} AS word, min(cost) AS best
+        FROM pairs WHERE cost IS NOT NULL GROUP BY 1
     )
-    WHERE best IS NOT NULL AND pos_before IS DISTINCT FROM best % {PLACES}
+    SELECT place,
+           (CASE WHEN (place & {POSITIONS}) = (best & {POSITIONS})
+                 THEN best >> {POSITION_BITS} ELSE symbol END)::INTEGER,
+           n_round + 1
+    FROM pairs JOIN chosen ON (place >> {POSITION_BITS}) = word
+    WHERE before IS DISTINCT FROM (word << {POSITION_BITS}) | (best & {POSITIONS}))
+), ended AS (
+    SELECT place >> {POSITION_BITS} AS word, max(n_round) AS last_round FROM merged GROUP BY 1
 )
-SELECT word, list(symbol ORDER BY pos) AS ids
-FROM merged JOIN (SELECT word, max(n_round) AS n_round FROM merged GROUP BY word)
-     USING (word, n_round)
+SELECT word, list(symbol ORDER BY place) AS ids
+FROM merged JOIN ended ON word = (place >> {POSITION_BITS}) AND last_round = n_round
 GROUP BY word
 """
 
@@ -97,7 +109,7 @@ class Codec:
         self.opens = np.array([t[:1] == b" " for t in self.bytes_of])
         self.ids_by_word: dict[str, bytes] = {}
         self.bytes_by_piece: dict[bytes, bytes] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         self._table(
             "merge_table",
             pair=pa.array(list(self.pairs), pa.int64()),
@@ -125,10 +137,10 @@ class Codec:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         flat = np.frombuffer(b"".join(words), np.uint8)
         starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        word = np.repeat(np.arange(len(words)), lengths)
         result = self._ask(
             "symbols", MERGE,
-            word=pa.array(np.repeat(np.arange(len(words), dtype=np.int32), lengths)),
-            pos=pa.array((np.arange(len(flat)) - starts).astype(np.int32)),
+            place=pa.array(word << POSITION_BITS | (np.arange(len(flat)) - starts)),
             symbol=pa.array(np.array(self.of_byte, np.int32)[flat]),
         )
         ids = result.column("ids").combine_chunks()
@@ -204,22 +216,21 @@ class Codec:
         """The bytes of each list of ids."""
         cut = []
         for data in ids:
-            opens = np.flatnonzero(self.opens[np.frombuffer(data, "<u4")])
-            ends = [*(4 * opens).tolist(), len(data)]
-            start, pieces = 0, []
-            for end in ends:
-                if end > start:
-                    pieces.append(data[start:end])
-                    start = end
-            cut.append(pieces)
+            opens = self.opens[np.frombuffer(data, "<u4")]
+            opens[:1] = True
+            starts = (4 * np.flatnonzero(opens)).tolist()
+            cut.append([data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])])
         known = self.bytes_by_piece
-        found = self._learn_pieces(list({p for pieces in cut for p in pieces if p not in known}))
-        result = [
-            b"".join([found[p] if p in found else known[p] for p in pieces]) for pieces in cut
-        ]
-        if len(known) + len(found) > REMEMBERED:
+        new = {p for pieces in cut for p in pieces if p not in known}
+        if new and len(known) + len(new) > REMEMBERED:
+            used = {p: known[p] for pieces in cut for p in pieces if p in known}
             known.clear()
-        known.update((k, v) for k, v in found.items() if len(k) <= REMEMBERED_BYTES)
+            known.update(used)
+        known.update(self._learn_pieces(list(new)))
+        result = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for piece in new:
+            if len(piece) > REMEMBERED_BYTES:
+                del known[piece]
         return result
 
 
