@@ -14,6 +14,7 @@ from tempspan.llm.html_text import with_main_text
 from tempspan.llm.jaccard_join import jaccard_join
 from tempspan.llm.language_id import identify_languages
 from tempspan.llm.quality_rules import apply_quality_rules
+from tempspan.llm.sharding import shard_documents
 from tempspan.llm.tables import read_table
 from tempspan.llm.token_counts import with_token_counts
 
@@ -64,6 +65,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_text": op2_html_text,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}
