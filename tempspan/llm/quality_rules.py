@@ -210,3 +210,65 @@ def apply_quality_rules(
         "given.*", *added[:5], "n_lines_removed", "clean_text",
         base_failed.alias("base_failed"), (~base_failed & enough).alias("kept"),
     )
+
+
+def oracle_sql(rules: LineRules = LineRules()) -> str:
+    """The same counts and verdicts of ``documents`` in SQL."""
+    word, blank = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]"
+    closing = "[" + re.escape(CLOSING).replace("'", "''") + "]"
+    marks = re.escape(SEPARATORS + MARKUP)
+
+    def count(characters: str) -> str:
+        return f"length(line) - length(translate(line, '{characters}', ''))"
+
+    def many(n: str) -> str:
+        return f"(({n}) >= {rules.min_marks} AND ({n}) * {rules.chars_per_mark} >= length(line))"
+
+    ends = f"regexp_matches(line, '[{TERMINAL}:;]({closing}|{blank})*$')"
+    inside = f"regexp_matches(line, '[{TERMINAL}]{closing}*{blank}+[^\\x20\\x09-\\x0D]')"
+    shouted = "len(string_split_regex(line, '[!?]{2,}')) - 1"
+    furniture = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+    return f"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS whole FROM documents
+        ), words AS (
+            SELECT n, doc_id, whole, regexp_extract_all(whole, '{word}') AS words FROM texts
+        ), windows AS (
+            SELECT n, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+            FROM words, unnest(range(1, greatest(len(words) - 1, 1))) AS t(i)
+        ), covered AS (
+            SELECT n, count(DISTINCT i + k) AS n_repeat_words
+            FROM (SELECT n, i, count(*) OVER (PARTITION BY n, g) AS times FROM windows),
+                 (VALUES (0), (1), (2)) AS o(k)
+            WHERE times > 1 GROUP BY n
+        ), lines AS (
+            SELECT n, line,
+                   ({ends} OR {inside})
+                   AND NOT (regexp_matches(line, '[{marks}]|[!?]{{2}}')
+                            AND ({many(shouted)} OR {many(count(SEPARATORS))} OR {many(count(MARKUP))}))
+                   AND (length(line) > {rules.boilerplate_chars} OR NOT ({furniture})) AS passes
+            FROM (SELECT n, unnest(string_split(whole, chr(10))) AS line FROM words)
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+        ), judged AS (
+            SELECT n, count(*) - count(DISTINCT line) AS n_dup_lines,
+                   count(*) FILTER (NOT passes) AS n_lines_removed,
+                   sum(length(regexp_replace(line, '{blank}+', '', 'g'))) FILTER (passes) AS left_chars
+            FROM lines GROUP BY n
+        ), counted AS (
+            SELECT doc_id, len(words) AS n_words,
+                   length(regexp_replace(whole, '{blank}+', '', 'g')) AS word_chars,
+                   length(whole) - length(translate(whole, '{SYMBOLS}', '')) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(n_lines_removed, 0)::INTEGER AS n_lines_removed,
+                   coalesce(left_chars, 0) AS left_chars
+            FROM words LEFT JOIN covered USING (n) LEFT JOIN judged USING (n)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines_removed,
+               n_words < {rules.min_words}
+                   OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed,
+               NOT (n_words < {rules.min_words}
+                    OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words)
+                   AND 100 * left_chars >= {100 - rules.max_lost_percent} * word_chars AS kept
+        FROM counted
+    """

@@ -13,7 +13,8 @@ from tempspan.llm.decontamination import decontaminate
 from tempspan.llm.html_text import with_main_text
 from tempspan.llm.jaccard_join import jaccard_join
 from tempspan.llm.language_id import identify_languages
-from tempspan.llm.quality_rules import apply_quality_rules
+from tempspan.llm.license_scan import oracle_sql as license_sql, scan_licenses
+from tempspan.llm.quality_rules import apply_quality_rules, oracle_sql as quality_sql
 from tempspan.llm.sharding import shard_documents
 from tempspan.llm.tables import read_table
 from tempspan.llm.token_counts import with_token_counts
@@ -36,6 +37,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate(documents, read_table(spark, sf_dir, "benchmark")).select(
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_text": op2_html_text,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_license_scan": op4_license_scan,
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
@@ -80,4 +86,7 @@ QUERIES: dict[str, Query] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": quality_sql(),
+    "op4_license_scan": license_sql(),
+}
