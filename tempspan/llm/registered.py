@@ -18,6 +18,7 @@ from tempspan.llm.quality_rules import apply_quality_rules, oracle_sql as qualit
 from tempspan.llm.sharding import shard_documents
 from tempspan.llm.tables import read_table
 from tempspan.llm.token_counts import with_token_counts
+from tempspan.llm.token_files import read_token_files, store_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = store_tokens(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_token_files(spark, folder, with_ids=False)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -82,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
+    "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_sharding": op10_sharding,
 }
