@@ -206,10 +206,16 @@ def apply_quality_rules(
         F.length(F.regexp_replace("clean_text", GAP, ""))
     )
     enough = 100 * left >= (100 - rules.max_lost_percent) * F.col("word_chars")
-    return judged.select(
-        "given.*", *added[:5], "n_lines_removed", "clean_text",
-        base_failed.alias("base_failed"), (~base_failed & enough).alias("kept"),
+    verdict = judged.select(
+        "given",
+        # A filter on the verdict must not be moved below the arrays it comes from: it would
+        # take a copy of all their expressions with it. Filters stay above a generator.
+        F.inline(F.array(F.struct(
+            *added[:5], "n_lines_removed", "clean_text",
+            base_failed.alias("base_failed"), (~base_failed & enough).alias("kept"),
+        ))),
     )
+    return verdict.select("given.*", *added)
 
 
 def oracle_sql(rules: LineRules = LineRules()) -> str:
