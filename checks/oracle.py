@@ -7,11 +7,12 @@ before and summing the marks, where the library subtracts a rank from the day nu
 from __future__ import annotations
 
 from checks.queries import (
-    EVENT_COLD, EVENT_HEAT, ORDER_COLD, ORDER_HEAT, ORDER_START_YEAR, ORDER_STATION,
+    EVENT_COLD, EVENT_HEAT, ORDER_COLD, ORDER_DEAR, ORDER_HEAT, ORDER_START_YEAR, ORDER_STATION,
     PROSE_FIELDS, PROSE_KEY, PROSE_MARK, QUALITY_STATION, TEXT_COLUMNS,
 )
-from checks.render import STANDARD
+from checks.render import FILLED, HEADERLESS, REVERSED, SPARSE, STANDARD
 from tempspan.rules import WaveRule
+from tempspan.schema import OBSERVATION_FIELDS
 
 EVENTS = """SELECT user_id AS station, CAST(ts AS DATE) AS day, value AS tx, value AS tn
     FROM events"""
@@ -142,14 +143,47 @@ QUALITY_REPORT = f"""
     UNION ALL SELECT 'day - Null Values', count(*) - count(day),
         round(100.0 * (count(*) - count(day)) / count(*), 6), NULL, NULL, NULL FROM here"""
 
-# The text cells of the rendered files, in the order of TEXT_COLUMNS. The layout for other
-# event types has no LATITUDE, so that one is NULL there and blank elsewhere.
-CELLS = dict(zip(TEXT_COLUMNS, [
-    "dtg", "location", "name", "CASE WHEN complete THEN '' END", "CAST(event_id AS VARCHAR)",
-    "wet", "humid", "CAST(tx AS VARCHAR)", "coalesce(CAST(tn AS VARCHAR), '')"]))
-LINE = " || ".join(
-    f"rpad({CELLS[name] if name != 'LATITUDE' and name in CELLS else chr(39) * 2}, {width}, ' ')"
-    for name, width in STANDARD)
+# The text cells of the rendered files; a field that the layout lacks is NULL.
+CELLS = {
+    "DTG": "dtg", "LOCATION": "location", "NAME": "name", "ALTITUDE": "CAST(event_id AS VARCHAR)",
+    "T_WETB_10": "wet", "U_10": "humid", "TX_DRYB_10": "CAST(tx AS VARCHAR)",
+    "TN_DRYB_10": "coalesce(CAST(tn AS VARCHAR), '')",
+    **{name: f"CASE WHEN event_id % {every} <> 0 THEN CAST(event_id % {modulus} AS VARCHAR) ELSE '' END"
+       for name, (modulus, every) in FILLED.items()},
+}
+SHORT = {name for name, _ in SPARSE}
+PARSED = {
+    name: CELLS[name] if name in SHORT else f"CASE WHEN complete THEN {CELLS[name]} END"
+    for name in TEXT_COLUMNS
+}
+TYPED = {
+    name: f"nullif({PARSED[name]}, '')" if kind == "string"
+    else f"CASE WHEN {PARSED[name]} <> 'NaN' THEN TRY_CAST({PARSED[name]} AS DOUBLE) END"
+    for name, kind in OBSERVATION_FIELDS.items()
+}
+TYPED_LIST = ", ".join(f"{cell} AS {name}" for name, cell in TYPED.items())
+
+
+def line_of(layout: list[tuple[str, int]]) -> str:
+    return " || ".join(f"rpad({CELLS[name]}, {width}, ' ')" for name, width in layout)
+
+
+def folder_lines(folder: str, layout: list[tuple[str, int]], where: str) -> str:
+    return f"SELECT '{folder}' AS folder, {line_of(layout)} AS value FROM ({RENDERED}) WHERE {where}"
+
+
+DIRECTORY = " UNION ALL ".join([
+    folder_lines("standard", STANDARD, "event_type IN ('click', 'view')"),
+    folder_lines("reversed", REVERSED, "event_type IN ('error', 'purchase')"),
+    folder_lines("sparse", SPARSE, "NOT complete"),
+    folder_lines(HEADERLESS, STANDARD, "TRUE"),
+])
+THREE_KINDS = f"""{both(ORDERS, ORDER_HEAT, ORDER_COLD, ORDER_START_YEAR)}
+    UNION ALL SELECT *, 'dear' AS kind FROM ({waves(ORDERS, ORDER_DEAR, ORDER_START_YEAR)})"""
+THREE_SUMMARY = f"""SELECT kind, CAST(year(start_date) AS INTEGER) AS year, count(*) AS count,
+      CASE WHEN kind = 'coldwaves' THEN min(temperature) ELSE max(temperature) END
+        AS extreme_temperature
+    FROM ({THREE_KINDS}) GROUP BY kind, year(start_date)"""
 
 ORACLE_SQL: dict[str, str] = {
     "explode_lines": DOCUMENT_LINES,
@@ -167,22 +201,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM f LEFT JOIN b ON f.doc_id = b.doc_id AND f.start = b.start""",
     "line_filter": f"""SELECT * FROM ({DOCUMENT_LINES})
         WHERE NOT starts_with(line, '{PROSE_MARK}') AND trim(line) <> ''""",
-    "directory_scan": f"SELECT {LINE} AS value FROM ({RENDERED})",
+    "directory_scan": DIRECTORY,
     "fixed_width_parse": "SELECT " + ", ".join(
-        f"{cell} AS {name}" for name, cell in CELLS.items()) + f" FROM ({RENDERED})",
-    "typed_cast": f"""SELECT dtg AS DTG, nullif(location, '') AS LOCATION,
-        nullif(name, '') AS NAME, NULL::DOUBLE AS LATITUDE, CAST(event_id AS DOUBLE) AS ALTITUDE,
-        NULL::DOUBLE AS T_WETB_10, TRY_CAST(humid AS DOUBLE) AS U_10, tx AS TX_DRYB_10,
-        tn AS TN_DRYB_10 FROM ({RENDERED})""",
-    "required_keys": f"""SELECT location AS LOCATION, CAST(event_id AS DOUBLE) AS ALTITUDE
-        FROM ({RENDERED}) WHERE location <> ''""",
-    "derive_date": f"""SELECT dtg AS DTG, location AS LOCATION,
-        CAST(event_id AS DOUBLE) AS ALTITUDE,
+        f"{cell} AS {name}" for name, cell in PARSED.items()) + f" FROM ({RENDERED})",
+    "typed_cast": f"SELECT {TYPED_LIST} FROM ({RENDERED})",
+    "required_keys": f"SELECT {TYPED_LIST} FROM ({RENDERED}) WHERE location <> ''",
+    "derive_date": f"""SELECT {TYPED_LIST},
         CASE WHEN length(dtg) > 10 THEN CAST(ts AS DATE) END AS DATE
         FROM ({RENDERED}) WHERE location <> ''""",
-    "union_sources": f"""
-        SELECT station AS LOCATION, day AS DATE, tx AS TX_DRYB_10 FROM ({TEXT_OBSERVATIONS})
-        UNION ALL SELECT station, day, tx FROM ({ORDERS})""",
+    "union_sources": f"""SELECT {TYPED_LIST},
+            CASE WHEN length(dtg) > 10 THEN CAST(ts AS DATE) END AS DATE
+        FROM ({RENDERED}) WHERE location <> ''
+        UNION ALL BY NAME SELECT station AS LOCATION, day AS DATE, tx AS TX_DRYB_10,
+            tn AS TN_DRYB_10 FROM ({ORDERS})""",
     "archive_lines": f"""SELECT doc_id, line FROM ({DOCUMENT_LINES})
         WHERE NOT starts_with(line, '#') AND trim(line) <> ''""",
     "station_daily_max": daily(ORDERS_HERE, False, ORDER_START_YEAR),
@@ -240,7 +271,7 @@ ORACLE_SQL: dict[str, str] = {
         rpad(end_date_formatted, 12, ' ') || ' | ' ||
         rpad(CAST(duration AS VARCHAR), 15, ' ') || ' | ' ||
         rpad(CAST(tropical_days AS VARCHAR), 15, ' ') || ' | ' ||
-        rpad(CAST(CAST(floor(max_temperature) AS BIGINT) AS VARCHAR) || '.0', 12, ' ') AS line
+        printf('%-12.1f', round(max_temperature, 1)) AS line
         FROM ({result(EVENTS, EVENT_HEAT, None)})""",
     "csv_roundtrip": f"""SELECT CAST(station AS VARCHAR) AS LOCATION, start_date, end_date,
         duration, extreme_days AS high_frost_days, temperature AS min_temperature
@@ -251,4 +282,23 @@ ORACLE_SQL: dict[str, str] = {
     "wave_job": f"""SELECT station AS LOCATION, start_date, end_date, duration, extreme_days,
         temperature AS extreme_temperature, kind
         FROM ({both(TEXT_OBSERVATIONS, EVENT_HEAT, EVENT_COLD)})""",
+    "rejected_files": f"""SELECT '{HEADERLESS}' AS folder, 'no header' AS reason,
+        CAST(sum(octet_length(encode(value)) + 1
+          + CASE WHEN tx < 10 THEN length('# remark on ' || event_id) + 1 + 4 ELSE 0 END) AS BIGINT)
+          AS bytes
+        FROM (SELECT {line_of(STANDARD)} AS value, tx, event_id FROM ({RENDERED}))""",
+    "input_inventory": """
+        WITH lines AS (SELECT event_type AS name, octet_length(encode(concat_ws(',', event_id,
+                user_id, value))) + 1 AS bytes FROM events WHERE event_type IS NOT NULL),
+        kinds AS (SELECT name, CAST(sum(bytes) AS BIGINT) AS bytes FROM lines GROUP BY name)
+        SELECT name, bytes, 'all' AS part FROM kinds
+        UNION ALL (SELECT '', bytes, 'first' FROM kinds ORDER BY name LIMIT 2)
+        UNION ALL SELECT '', CAST(sum(bytes) AS BIGINT), 'total' FROM kinds""",
+    "daily_records": f"""SELECT count(*) FILTER (WHERE tx IS NOT NULL) AS heatwaves,
+        count(*) FILTER (WHERE paired) AS coldwaves
+        FROM (SELECT station, day, max(tx) AS tx, bool_or(tx IS NOT NULL AND tn IS NOT NULL) AS paired
+              FROM ({GAPPY}) WHERE year(day) >= 2003 GROUP BY station, day)""",
+    "periods_repeated_days": result(EVENTS, EVENT_HEAT, "user_id"),
+    "summary_custom": f"""{THREE_SUMMARY} UNION ALL SELECT 'json', NULL, count, extreme_temperature
+        FROM ({THREE_SUMMARY}) WHERE kind = 'dear' AND year = 1999""",
 }

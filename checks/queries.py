@@ -13,10 +13,10 @@ import tarfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from checks.render import HEADERLESS, observation_files
+from checks.render import observation_files
 from tempspan.operators.daily import (
     daily_extremes, from_start_year, only_station, station_day_readings, station_days,
 )
@@ -37,9 +37,9 @@ from tempspan.sinks.files import (
     read_periods, read_results_csv, write_periods, write_results_csv,
 )
 from tempspan.sinks.report import report_lines
-from tempspan.sources.archives import unpack
+from tempspan.sources.archives import read_archives
 from tempspan.sources.headers import detect_headers, header_slices, without_header
-from tempspan.sources.inventory import first_files, list_files
+from tempspan.sources.inventory import first_files, list_files, summarize_files
 from tempspan.sources.lines import data_lines, explode_lines, scan_lines
 from tempspan.sources.observations import (
     attach_layouts, cast_fields, derive_day, file_headers, read_observations,
@@ -54,6 +54,7 @@ ORDER_HEAT = dataclasses.replace(HEATWAVE, temp_threshold=250_000.0,
                                  extreme_temp_threshold=400_000.0)
 ORDER_COLD = dataclasses.replace(COLDWAVE, temp_threshold=400_000.0,
                                  extreme_temp_threshold=100_000.0)
+ORDER_DEAR = dataclasses.replace(ORDER_HEAT, kind="dear", min_duration=3)
 ORDER_START_YEAR = 1997
 ORDER_STATION = "1-URGENT"
 QUALITY_STATION = "view"
@@ -62,8 +63,7 @@ QUALITY_STATION = "view"
 # the header also has the word "the".
 PROSE_MARK, PROSE_KEY = "T", "the"
 PROSE_FIELDS = ("the", "and", "ing ", "tion", "er", ".", "of ")
-TEXT_COLUMNS = ("DTG", "LOCATION", "NAME", "LATITUDE", "ALTITUDE", "T_WETB_10", "U_10",
-                "TX_DRYB_10", "TN_DRYB_10")
+TEXT_COLUMNS = tuple(OBSERVATION_FIELDS)
 
 
 # Tables as observations
@@ -161,28 +161,42 @@ def q_typed_cast(spark, sf):
 
 def q_required_keys(spark, sf):
     typed = cast_fields(text_fields(spark, sf))
-    return require_keys(typed).select("LOCATION", "ALTITUDE")
+    return require_keys(typed).select(*TEXT_COLUMNS)
 
 
 def q_derive_date(spark, sf):
     typed = require_keys(cast_fields(text_fields(spark, sf)))
-    return derive_day(typed).select("DTG", "LOCATION", "ALTITUDE", "DATE")
+    return derive_day(typed).select(*TEXT_COLUMNS, "DATE")
 
 
 def q_directory_scan(spark, sf):
-    lines = scan_lines(spark, observation_files(spark, sf))
-    return data_lines(lines.filter(F.col("source").contains(f"/{HEADERLESS}/"))).select("value")
+    root = observation_files(spark, sf)
+    folder = F.regexp_extract(F.split_part("source", F.lit(root), F.lit(-1)), "^/([^/]+)/", 1)
+    return data_lines(scan_lines(spark, root)).select(folder.alias("folder"), "value")
+
+
+def q_rejected_files(spark, sf):
+    """Inputs that are left out and why, with their bytes, by top folder."""
+    root = observation_files(spark, sf)
+    folder = F.regexp_extract(F.split_part("source", F.lit(root), F.lit(-1)), "^/([^/]+)/", 1)
+    out = read_observations(spark, root).rejects.groupBy(folder.alias("folder"), "reason").agg(
+        F.sum("size").alias("bytes"))
+    return out.select("folder", "reason", "bytes")
 
 
 def q_union_sources(spark, sf):
-    columns = ["LOCATION", "DATE", "TX_DRYB_10"]
     from_text = read_observations(spark, observation_files(spark, sf)).observations
     from_table = orders(spark, sf).toDF("LOCATION", "DATE", "TX_DRYB_10", "TN_DRYB_10")
-    return union_sources(from_text.select(*columns), from_table.select(*columns))
+    missing = {name: F.lit(None).cast(kind) for name, kind in OBSERVATION_FIELDS.items()
+               if name not in from_table.columns}
+    return union_sources(from_text, from_table.withColumns(missing))
 
 
 def q_archive_lines(spark, sf):
-    """Documents packed into archives of a bounded number each, and unpacked again."""
+    """Documents packed into archives in nested folders, read back by the archive reader.
+
+    Archives are written as files by the tasks, through Spark's file system.
+    """
     documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,13 +213,38 @@ def q_archive_lines(spark, sf):
                 yield pa.RecordBatch.from_pydict(
                     {"source": [f"from-{rows[0]['doc_id']}.tgz"], "content": [buffer.getvalue()]})
 
-    archives = documents.mapInArrow(pack, "source string, content binary")
+    root = fresh_folder(spark, "archives")
+    write_archives(documents.mapInArrow(pack, "source string, content binary"), root)
     doc_id = F.element_at(F.split("source", "/"), -1).cast("long").alias("doc_id")
-    return data_lines(unpack(archives)).select(doc_id, F.col("value").alias("line"))
+    return data_lines(read_archives(spark, root)).select(doc_id, F.col("value").alias("line"))
+
+
+def write_archives(archives: DataFrame, root: str) -> None:
+    """Write each archive as a file of its own; there are few, a bounded number of documents
+    in each, so they pass the driver one at a time."""
+    spark = archives.sparkSession
+    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for number, row in enumerate(archives.toLocalIterator()):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/part={number % 3}/{row['source']}")
+        out = path.getFileSystem(hadoop).create(path)
+        out.write(row["content"])
+        out.close()
 
 
 def q_input_inventory(spark, sf):
-    return first_files(list_files(spark, sf, "*.parquet"), 5)
+    """Events as one text file for each type: bytes of each, and the first files listed."""
+    root = fresh_folder(spark, "inventory")
+    text = F.concat_ws(",", "event_id", "user_id", "value").alias("value")
+    events_ = spark.read.parquet(f"{sf}/events.parquet").where("event_type IS NOT NULL")
+    events_.select("event_type", text).repartition("event_type").write.partitionBy(
+        "event_type").text(root)
+    files = list_files(spark, root)
+    kind = F.regexp_extract("source", "event_type=([^/]+)/", 1).alias("name")
+    all_files = files.groupBy(kind).agg(F.sum("size").alias("bytes"), F.lit("all").alias("part"))
+    first = first_files(files, 2).select(
+        F.lit("").alias("name"), F.col("size").alias("bytes"), F.lit("first").alias("part"))
+    total = summarize_files(files).select(F.lit("").alias("name"), "bytes", F.lit("total").alias("part"))
+    return all_files.unionByName(first).unionByName(total)
 
 
 # Daily values and runs
@@ -288,17 +327,45 @@ def q_quality_report_of_days(spark, sf):
 # Sinks and jobs
 
 def q_record_count(spark, sf):
-    days = station_days(events(spark, sf), ["user_id"], "day", "tx", "tn")
-    return days.agg(F.sum("observations").alias("observations"),
-                    F.count(F.lit(1)).alias("station_days"))
+    """Records observed while the daily values are computed, beside their number."""
+    seen = Observation("records")
+    records = events(spark, sf).observe(seen, F.count(F.lit(1)).alias("observations"))
+    days = station_days(records, ["user_id"], "day", "tx", "tn").count()
+    return spark.createDataFrame(
+        [(seen.get["observations"], days)], "observations long, station_days long")
+
+
+def q_daily_records(spark, sf):
+    """What the batch job logs as daily records of each kind."""
+    days = station_days(gappy_events(spark, sf), ["user_id"], "day", "tx", "tn")
+    renamed = from_start_year(days, 2003, "day")
+    return job.daily_records(renamed, [EVENT_HEAT, EVENT_COLD])
 
 
 def q_report_lines(spark, sf):
     waves = event_waves(spark, sf, EVENT_HEAT).withColumn(
-        "max_temperature", F.floor("max_temperature").cast("double"))
+        "max_temperature", F.round("max_temperature", 1))
     return report_lines(present(waves, EVENT_HEAT, keys=()))
 
 
+def q_periods_repeated_days(spark, sf):
+    """Detection straight on events, of which a station has many on a day."""
+    return present(detect(events(spark, sf), EVENT_HEAT, **USER, tx="tx"), EVENT_HEAT, ["user_id"])
+
+
+def q_summary_custom(spark, sf):
+    """A rule of the caller's own beside the built-in kinds, in table and JSON."""
+    rules = [ORDER_HEAT, ORDER_COLD, ORDER_DEAR]
+    found = both_kinds(orders(spark, sf), rules, ["station"], ORDER_START_YEAR)
+    summary = yearly_summary(found, rules)
+    text = summary_json(summary, rules).select(
+        F.lit("json").alias("kind"), F.lit(None).cast("int").alias("year"),
+        F.get_json_object("summary", "$.dear.1999.count").cast("long").alias("count"),
+        F.get_json_object("summary", "$.dear.1999.max_temperature").cast("double")
+        .alias("extreme_temperature"))
+    return summary.unionByName(text)
+
+
 def q_csv_roundtrip(spark, sf):
     path = fresh_folder(spark, "csv")
     waves = event_waves(spark, sf, EVENT_COLD).withColumnRenamed("user_id", STATION)
@@ -343,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "header_offsets": q_header_offsets,
     "line_filter": lambda s, d: data_lines(document_lines(s, d), "line", PROSE_MARK),
     "directory_scan": q_directory_scan,
+    "rejected_files": q_rejected_files,
     "fixed_width_parse": q_fixed_width_parse,
     "typed_cast": q_typed_cast,
     "required_keys": q_required_keys,
@@ -380,6 +448,9 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "quality_report_of_days": q_quality_report_of_days,
     "record_count": q_record_count,
+    "daily_records": q_daily_records,
+    "periods_repeated_days": q_periods_repeated_days,
+    "summary_custom": q_summary_custom,
     "report_lines": q_report_lines,
     "csv_roundtrip": q_csv_roundtrip,
     "period_store": q_period_store,

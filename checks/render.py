@@ -21,6 +21,13 @@ REVERSED = [("DTG", 24), *[(f, 26) for f in list(OBSERVATION_FIELDS)[:0:-1]]]
 SPARSE = [("DTG", 22), ("LOCATION", 22), ("NAME", 12), ("ALTITUDE", 22), ("TN_DRYB_10", 25),
           ("T_WETB_10", 12), ("TX_DRYB_10", 25), ("U_10", 22)]
 HEADERLESS = "headerless"
+# The other fields hold the event's number modulo the first value, and are blank at every
+# multiple of the second.
+FILLED = {
+    "LATITUDE": (90, 7), "LONGITUDE": (180, 11), "U_BOOL_10": (2, 5), "T_DRYB_10": (41, 3),
+    "TN_10CM_PAST_6H_10": (37, 4), "T_DEWP_10": (29, 6), "T_DEWP_SEA_10": (31, 8),
+    "T_DRYB_SEA_10": (23, 9), "U_SEA_10": (101, 10),
+}
 
 _rendered: dict[tuple[str, str], str] = {}
 
@@ -32,13 +39,15 @@ def header_of(layout: list[tuple[str, int]]) -> str:
 
 def cells_of() -> dict[str, Column]:
     value, kind = F.col("value"), F.col("event_type")
-    text = value.cast("string")
+    text, number = value.cast("string"), F.col("event_id")
     return {
         "DTG": F.when((value >= 2) & (value < 3), F.date_format("ts", "yyyy-MM-dd"))
         .otherwise(F.date_format("ts", TIME_FORMAT)),
         "LOCATION": F.when(value < 2, "").otherwise(F.col("user_id").cast("string")),
         "NAME": kind,
-        "ALTITUDE": F.col("event_id").cast("string"),
+        "ALTITUDE": number.cast("string"),
+        **{name: F.when(number % every != 0, (number % modulus).cast("string")).otherwise("")
+           for name, (modulus, every) in FILLED.items()},
         "TX_DRYB_10": text,
         "TN_DRYB_10": F.when(kind == "signup", "").otherwise(text),
         "T_WETB_10": F.when(kind == "view", "NaN").otherwise(""),

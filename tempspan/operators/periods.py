@@ -46,15 +46,16 @@ def run_ids(days: DataFrame, keys: Sequence[str] = (STATION,), day: str = DAY,
 
 def consecutive_periods(days: DataFrame, condition: Column, extreme: Column,
                         reading: Column, keys: Sequence[str] = (STATION,), day: str = DAY,
-                        repeated_days: bool = False) -> DataFrame:
+                        repeated_days: bool = True) -> DataFrame:
     """Maximal runs of consecutive days that meet ``condition``; rows without a day go.
 
     Result: keys, ``group_id, start_date, end_date, duration, extreme_days, highest,
     lowest``: the days of the run that meet ``extreme``, and the bounds of ``reading``.
 
-    ``days`` has one row per keys and day, as ``daily_extremes`` gives. With
-    ``repeated_days`` it may have more: a day then counts when any of its rows does, and
-    the rows are merged before the shuffle by keys.
+    A day may have several rows: it counts when any of them does, and they are merged
+    before the shuffle by keys, at no exchange of their own when ``days`` comes from
+    ``daily_extremes`` or ``station_days``. A caller whose days are unique, as in a table
+    written from those, may say so with ``repeated_days=False``.
     """
     qualifying = days.filter(condition & F.col(day).isNotNull()).select(
         *keys, day, extreme.alias("is_extreme"), reading.alias("reading"))
@@ -78,20 +79,23 @@ def consecutive_periods(days: DataFrame, condition: Column, extreme: Column,
 
 
 def periods_of(days: DataFrame, rule: WaveRule, keys: Sequence[str] = (STATION,),
-               day: str = DAY, tx: str = TX, tn: str | None = None) -> DataFrame:
+               day: str = DAY, tx: str = TX, tn: str | None = None,
+               repeated_days: bool = True) -> DataFrame:
     """All runs of days that qualify under ``rule``, whatever their length."""
     x, n = F.col(tx), None if tn is None else F.col(tn)
     runs = consecutive_periods(
-        days, rule.qualifies(x), rule.is_extreme(x, n), rule.reading(x, n), keys, day)
+        days, rule.qualifies(x), rule.is_extreme(x, n), rule.reading(x, n), keys, day,
+        repeated_days)
     temperature = F.col(rule.bound).alias(rule.temperature_column)
     return runs.select(*keys, "group_id", *PERIOD, temperature)
 
 
 def detect(days: DataFrame, rule: WaveRule, keys: Sequence[str] = (STATION,),
-           day: str = DAY, tx: str = TX, tn: str | None = TN) -> DataFrame:
+           day: str = DAY, tx: str = TX, tn: str | None = TN,
+           repeated_days: bool = True) -> DataFrame:
     """The periods that satisfy ``rule``: keys, start and end date, duration, the rule's
     extreme-day count and its temperature. ``tn`` is only used by cold rules."""
-    periods = periods_of(days, rule, keys, day, tx, None if rule.warm else tn)
+    periods = periods_of(days, rule, keys, day, tx, None if rule.warm else tn, repeated_days)
     return (
         periods
         .filter(rule.accepts(F.col("duration"), F.col("extreme_days")))
@@ -102,7 +106,8 @@ def detect(days: DataFrame, rule: WaveRule, keys: Sequence[str] = (STATION,),
 
 def detect_kinds(days: DataFrame, rules: Sequence[WaveRule],
                  readings: Mapping[str, tuple[str, str | None]],
-                 keys: Sequence[str] = (STATION,), day: str = DAY) -> DataFrame:
+                 keys: Sequence[str] = (STATION,), day: str = DAY,
+                 repeated_days: bool = True) -> DataFrame:
     """Periods of several rules in one pass over ``days``.
 
     ``readings`` names, by kind, the columns with the daily maximum and minimum. A day
@@ -123,7 +128,7 @@ def detect_kinds(days: DataFrame, rules: Sequence[WaveRule],
     marked = days.select(*keys, day, F.inline(F.array_compact(F.array(*marks))))
 
     periods = consecutive_periods(marked, F.lit(True), F.col("is_extreme"), F.col("reading"),
-                                  [*keys, "kind"], day)
+                                  [*keys, "kind"], day, repeated_days)
     accepted, temperature = F.lit(False), F.lit(None).cast("double")
     for rule in rules:
         chosen = F.col("kind") == rule.kind

@@ -68,9 +68,14 @@ def yearly(periods: DataFrame, rule: WaveRule) -> DataFrame:
     )
 
 
-def yearly_summary(periods: DataFrame) -> DataFrame:
-    """``(kind, year, count, extreme_temperature)`` from ``detect_kinds`` in one pass."""
-    warm = [rule.kind for rule in RULES.values() if rule.warm]
+def yearly_summary(periods: DataFrame,
+                   rules: Sequence[WaveRule] = tuple(RULES.values())) -> DataFrame:
+    """``(kind, year, count, extreme_temperature)`` from ``detect_kinds`` in one pass.
+
+    A kind of none of the ``rules`` has no temperature, since nothing says which it is.
+    """
+    warm = [rule.kind for rule in rules if rule.warm]
+    cold = [rule.kind for rule in rules if not rule.warm]
     return (
         periods.groupBy("kind", F.year("start_date").alias("year"))
         .agg(
@@ -81,18 +86,19 @@ def yearly_summary(periods: DataFrame) -> DataFrame:
         .select(
             "kind", "year", "count",
             F.when(F.col("kind").isin(warm), F.col("_highest"))
-            .otherwise(F.col("_lowest")).alias("extreme_temperature"),
+            .when(F.col("kind").isin(cold), F.col("_lowest")).alias("extreme_temperature"),
         )
     )
 
 
-def summary_json(summary: DataFrame) -> DataFrame:
-    """One row with the summary as JSON: an object per kind, in it one entry per year.
+def summary_json(summary: DataFrame,
+                 rules: Sequence[WaveRule] = tuple(RULES.values())) -> DataFrame:
+    """One row with the summary as JSON: an object per rule, in it one entry per year.
 
     What is gathered into the one row is a count and a temperature per year.
     """
     parts = []
-    for rule in RULES.values():
+    for rule in rules:
         entry = F.struct(
             F.col("year").cast("string").alias("key"),
             F.struct("count", F.col("extreme_temperature").alias(rule.temperature_column))
@@ -101,4 +107,4 @@ def summary_json(summary: DataFrame) -> DataFrame:
         entries = F.collect_list(F.when(F.col("kind") == rule.kind, entry))
         parts.append(F.map_from_entries(F.sort_array(entries)).alias(rule.kind))
     return summary.agg(*parts).select(
-        F.to_json(F.struct(*RULES)).alias("summary"))
+        F.to_json(F.struct(*(rule.kind for rule in rules))).alias("summary"))

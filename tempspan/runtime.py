@@ -8,21 +8,27 @@ size that can be checked before it is broadcast.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import re
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_open_tables: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's shared folder; a local session without one gets its own."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
     return _local_folder()
 
@@ -41,5 +47,25 @@ def write_shared(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` once and continue from the written table."""
     spark = frame.sparkSession
     path = fresh_folder(spark, name)
+    for tables in _open_tables:
+        tables.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def removed_at_end(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``write_shared`` writes inside the block when it ends.
+
+    Frames that read them are of no use afterwards, so write their results inside.
+    """
+    tables: list[str] = []
+    _open_tables.append(tables)
+    try:
+        yield
+    finally:
+        _open_tables.remove(tables)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for table in tables:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+            path.getFileSystem(hadoop).delete(path, True)

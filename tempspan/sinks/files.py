@@ -31,7 +31,10 @@ def write_results_csv(results: DataFrame, path: str, rule: WaveRule) -> None:
 
 def read_results_csv(spark: SparkSession, path: str, rule: WaveRule,
                      keys: Sequence[str] = (STATION,)) -> DataFrame:
-    """A result CSV as periods again: keys, real dates, counts, temperature."""
+    """A result CSV as periods again: keys, real dates, counts, temperature.
+
+    Headings that are not the rule's, or in another order, fail.
+    """
     numbers = {"duration": T.LongType(), rule.extreme_days_column: T.LongType(),
                rule.temperature_column: T.DoubleType()}
     titles = {**{k: KEY_TITLES.get(k, k) for k in keys}, **rule.result_titles()}
@@ -39,7 +42,8 @@ def read_results_csv(spark: SparkSession, path: str, rule: WaveRule,
         T.StructField(title, numbers.get(name, T.StringType()))
         for name, title in titles.items()
     ])
-    rows = spark.read.schema(schema).option("header", True).csv(path).toDF(*titles)
+    rows = spark.read.schema(schema).option("header", True).option(
+        "enforceSchema", False).csv(path).toDF(*titles)
     return rows.select(
         *keys,
         parse_result_date(F.col("start_date_formatted")).alias("start_date"),

@@ -12,23 +12,32 @@ from pyspark.sql import types as T
 NO_RESULTS = "No results found."
 
 
+# The width of a leading column and of a number, and what stands between.
+LEADING_WIDTH, NUMBER_WIDTH, BETWEEN = 12, 15, " | "
+
+
+def cell_formats(kinds: Sequence[str]) -> str:
+    """The format of a line with a cell of each kind: text, count, heading or decimal."""
+    formats = {
+        "text": f"%-{LEADING_WIDTH}s", "heading": f"%-{NUMBER_WIDTH}s",
+        "count": f"%-{NUMBER_WIDTH}d", "decimal": f"%-{LEADING_WIDTH}.1f",
+    }
+    return BETWEEN.join(formats[kind] for kind in kinds)
+
+
 def heading(titles: Sequence[str], dates: int = 2) -> str:
-    cells = [f"{t:<12}" if i < dates else f"{t:<15}" for i, t in enumerate(titles)]
-    return " | ".join(cells)
+    kinds = ["text"] * dates + ["heading"] * (len(titles) - dates)
+    return cell_formats(kinds) % tuple(titles)
 
 
 def report_lines(results: DataFrame, dates: int = 2, line: str = "line") -> DataFrame:
-    """One text line per result row, in row order: leading columns 12 wide, numbers 12
-    wide with one decimal when they are floating point, else 15 wide; ``|`` between."""
-    cells = []
-    for i, field in enumerate(results.schema):
-        if i < dates:
-            cells.append("%-12s")
-        elif isinstance(field.dataType, T.DoubleType):
-            cells.append("%-12.1f")
-        else:
-            cells.append("%-15d")
-    return results.select(F.format_string(" | ".join(cells), *results.columns).alias(line))
+    """One text line per result row, in row order: leading columns as text, then numbers,
+    those with a fraction with one decimal."""
+    kinds = ["text"] * dates + [
+        "decimal" if isinstance(field.dataType, T.DoubleType) else "count"
+        for field in results.schema[dates:]
+    ]
+    return results.select(F.format_string(cell_formats(kinds), *results.columns).alias(line))
 
 
 def quality_lines(report: DataFrame, line: str = "line") -> DataFrame:
@@ -52,13 +61,17 @@ def print_quality(report: DataFrame) -> None:
         print(row[0])
 
 
-def print_report(results: DataFrame, title: str, titles: Sequence[str], rows: int) -> None:
-    """Print a title, the heading and the first ``rows`` rows. The files hold all rows."""
+def print_report(results: DataFrame, title: str, titles: Sequence[str],
+                 rows: int | None = None) -> None:
+    """Print a title, the heading and all rows, or the first ``rows`` of them.
+
+    Rows are streamed from the executors, a partition at a time.
+    """
     print(f"\n{title}\n{'=' * 80}\n{heading(titles, len(titles) - 3)}\n{'-' * 80}")
-    shown = report_lines(results, len(titles) - 3).take(rows + 1)
-    for row in shown[:rows]:
+    lines = report_lines(results, len(titles) - 3)
+    shown = 0
+    for row in (lines if rows is None else lines.limit(rows)).toLocalIterator():
         print(row[0])
+        shown += 1
     if not shown:
         print(NO_RESULTS)
-    if len(shown) > rows:
-        print(f"... more rows in the result files (first {rows} shown)")

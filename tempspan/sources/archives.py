@@ -1,36 +1,36 @@
-"""Tar archives (.tar, .tar.gz, .tgz) as text lines.
+"""Tar archives (plain or compressed by gzip, bzip2 or xz) as text lines.
 
-A gzip stream cannot be read from the middle, so one archive is the smallest piece of
-work: archives are spread over tasks, and each task streams its members out as bounded
-batches of lines. Spark reads a binary file of at most 2 GiB; larger collections belong
-in several archives, or unpacked in a directory, where ``scan_lines`` splits them freely.
-Members are never written to local disk, so their names cannot reach outside a folder.
+A compressed stream cannot be read from the middle, so one archive is the smallest piece of
+work: archives are spread over tasks, and each task streams its members out as blocks of
+text of bounded size, cut at line ends, which Spark then splits into lines. Spark reads a
+binary file of at most 2 GiB; larger collections belong in several archives, or unpacked in
+a directory, where ``scan_lines`` splits them freely. Members are never written to local
+disk, so their names cannot reach outside a folder.
 """
 
 from __future__ import annotations
 
-import io
-import itertools
+import lzma
 import tarfile
 import zlib
 from collections.abc import Iterator
-from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.runtime import write_shared
-from tempspan.schema import LINES
+from tempspan.sources.lines import without_return
 
-ARCHIVE_PATTERN = "*.{tar,tar.gz,tgz}"
-LINES_PER_BATCH = 20_000
-ARROW_LINES = pa.schema([
-    ("source", pa.string()), ("size", pa.int64()), ("offset", pa.int64()), ("value", pa.string()),
-])
+ARCHIVE_PATTERN = "*.{tar,tar.gz,tgz,tar.bz2,tbz2,tbz,tar.xz,txz}"
+BLOCK_BYTES = 4 * 1024 * 1024
+BLOCKS = "source string, size long, offset long, block string"
+#: The offset of the row that stands for damage.
+DAMAGED_AT = -1
 
 
-def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_archives(spark: SparkSession, path: str | list[str],
+                  skip_damaged: bool = False) -> DataFrame:
     """The lines of all archives below ``path``, unpacked once into the shared folder.
 
     ``source`` is ``archive!member``. Pass the result to ``observations_from_lines``.
@@ -42,40 +42,53 @@ def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .load(path)
         .select(F.col("_metadata.file_path").alias("source"), "content")
     )
-    return write_shared(unpack(archives), "archive_lines")
+    return write_shared(unpack(archives, skip_damaged), "archive_lines")
 
 
-def unpack(archives: DataFrame) -> DataFrame:
-    """``(source, content)`` archives to lines.
+def unpack(archives: DataFrame, skip_damaged: bool = False) -> DataFrame:
+    """``(source, content)`` archives to lines; lines of one block share its offset.
 
-    An empty member, or an archive that cannot be opened or breaks off, gives one row
-    with a NULL value, so that it shows up among the sources without a header.
+    An archive that cannot be opened or breaks off fails the job. With ``skip_damaged`` its
+    complete blocks are kept and one row with a NULL value and a negative offset names it;
+    an empty member gives one row with a NULL value. Both show up among the rejects.
     """
     # Nested, so that Spark ships the code to executors that lack this package.
-    def member_lines(source: str, content: bytes) -> Iterator[tuple]:
+    def blocks(source: str, content: pa.Buffer) -> Iterator[tuple]:
         try:
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r|*") as archive:
+            with tarfile.open(fileobj=pa.BufferReader(content), mode="r|*") as archive:
                 for member in archive:
-                    parts = PurePosixPath(member.name.replace("../", "")).parts
-                    if not member.isfile() or any(p.startswith((".", "_")) for p in parts):
+                    if not member.isfile():
                         continue
                     name = f"{source}!{member.name}"
                     if member.size == 0:
                         yield name, 0, 0, None
-                    offset = 0
-                    for line in archive.extractfile(member):
-                        text = line.rstrip(b"\r\n").decode("utf-8", "replace")
-                        yield name, member.size, offset, text
-                        offset += len(line)
-        except (tarfile.TarError, EOFError, OSError, zlib.error):
-            yield source, len(content), 0, None
+                    file, offset, rest = archive.extractfile(member), 0, []
+                    while data := file.read(BLOCK_BYTES):
+                        end = data.rfind(b"\n")
+                        if end < 0:
+                            rest.append(data)
+                            continue
+                        block = b"".join([*rest, data[:end]])
+                        yield name, member.size, offset, block.decode("utf-8", "replace")
+                        offset += len(block) + 1
+                        rest = [data[end + 1 :]]
+                    if block := b"".join(rest):
+                        yield name, member.size, offset, block.decode("utf-8", "replace")
+        except (tarfile.TarError, EOFError, OSError, zlib.error, lzma.LZMAError) as error:
+            if not skip_damaged:
+                raise ValueError(f"damaged archive {source}: {error}") from error
+            yield source, content.size, DAMAGED_AT, None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for source, content in zip(batch.column("source"), batch.column("content")):
-                lines = member_lines(source.as_py(), content.as_py())
-                while rows := list(itertools.islice(lines, LINES_PER_BATCH)):
-                    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), ARROW_LINES)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=ARROW_LINES)
+                for row in blocks(source.as_py(), content.as_buffer()):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
-    return archives.select("source", "content").mapInArrow(read, LINES)
+    names = ["source", "size", "offset", "block"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    found = archives.select("source", "content").mapInArrow(read, BLOCKS)
+    return found.select(
+        "source", "size", "offset", F.explode_outer(F.split("block", "\n")).alias("value"),
+    ).withColumn("value", without_return(F.col("value")))

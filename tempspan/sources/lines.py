@@ -8,31 +8,33 @@ from pyspark.sql import functions as F
 from tempspan.schema import HEADER_MARK
 
 
-def scan_lines(spark: SparkSession, path: str | list[str],
-               skip_damaged: bool = True) -> DataFrame:
+def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All lines of all files below ``path``, as ``schema.LINES``.
 
     One scan with one plan however many files there are, and large uncompressed files are
-    split over tasks. Spark passes over names that start with ``_`` or ``.``.
-
-    A file that cannot be read further, such as a damaged compressed one, does not fail
-    the job; the lines before the damage are kept. With ``skip_damaged=False`` it does
-    fail, which also tells damage from a storage system that is out of order.
+    split over tasks. Spark passes over names that start with ``_`` or ``.``. A line ends at
+    a newline; a carriage return before it belongs to the line's end. A file that cannot be
+    read to its end fails the job: see ``damage.damaged_files`` for reading the others.
     """
     return (
         spark.read
         .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", skip_damaged)
+        .option("lineSep", "\n")
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("source"),
             F.col("_metadata.file_size").alias("size"),
             F.col("_metadata.file_block_start").alias("offset"),
-            "value",
+            without_return(F.col("value")).alias("value"),
         )
     )
 
 
+def without_return(line: Column) -> Column:
+    """The line without one carriage return at its end."""
+    return F.when(line.endswith("\r"), F.left(line, F.length(line) - 1)).otherwise(line)
+
+
 def explode_lines(documents: DataFrame, text: str, line: str = "line",
                   line_no: str | None = None) -> DataFrame:
     """One row per line of a text column, keeping the other columns.

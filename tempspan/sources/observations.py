@@ -18,6 +18,7 @@ for missing and reordered fields, and ``to_double`` for NaN.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tempspan.functions.columns import blank_to_null, to_day, to_double
 from tempspan.runtime import write_shared
 from tempspan.schema import DAY, OBSERVATION_FIELDS, REQUIRED_FIELDS, TIME_FIELD
+from tempspan.sources.damage import damaged_files
 from tempspan.sources.headers import detect_headers, header_slices, without_header
 from tempspan.sources.inventory import list_files
 from tempspan.sources.lines import data_lines, scan_lines
@@ -38,29 +40,40 @@ CHUNK_BYTES = 128 * 1024 * 1024
 
 
 class Ingested(NamedTuple):
-    """Typed observations, and the ``source`` of every file without a header."""
+    """Typed observations, and ``(source, size, reason)`` of every input that is left out."""
 
     observations: DataFrame
     rejects: DataFrame
 
 
 def read_observations(spark: SparkSession, path: str | list[str], clip_last: bool = True,
-                      skip_damaged: bool = True,
+                      skip_damaged: bool = False,
                       broadcast_limit: int = BROADCAST_LIMIT) -> Ingested:
     """Read every observation file below ``path``.
 
     Raises FileNotFoundError when there are no files and ValueError when none has a
-    header; a file without a header is otherwise left out and listed in ``rejects``.
+    header; a file without a header is otherwise left out and listed in ``rejects``. A
+    damaged compressed file fails the job; with ``skip_damaged`` it is left out as a whole
+    and listed there too.
     """
-    files = list_files(spark, path)
-    lines = scan_lines(spark, path, skip_damaged)
-    return _ingest(lines, files, clip_last, broadcast_limit)
+    if not skip_damaged:
+        files = list_files(spark, path)
+        return _ingest(scan_lines(spark, path), files, clip_last, broadcast_limit)
+    damaged = damaged_files(spark, path)
+    left_out = [row["source"] for row in damaged.select("source").toLocalIterator()]
+    # Spark drops files by such a filter when it lists them and never opens them.
+    lines = scan_lines(spark, path).filter(~F.col("source").isin(left_out))
+    files = list_files(spark, path).filter(~F.col("source").isin(left_out))
+    found = _ingest(lines, files, clip_last, broadcast_limit)
+    named = damaged.select("source", "size", F.lit("damaged").alias("reason"))
+    return Ingested(found.observations, found.rejects.unionByName(named))
 
 
 def observations_from_lines(lines: DataFrame, clip_last: bool = True,
                             broadcast_limit: int = BROADCAST_LIMIT) -> Ingested:
     """Read observations from lines that are already a table (``schema.LINES``)."""
-    sources = lines.groupBy("source").agg(F.max("size").alias("size"))
+    sources = lines.groupBy("source").agg(
+        F.max("size").alias("size"), F.min("offset").alias("offset"))
     return _ingest(lines, sources, clip_last, broadcast_limit)
 
 
@@ -75,7 +88,10 @@ def _ingest(lines: DataFrame, sources: DataFrame, clip_last: bool,
     sliced = attach_layouts(data_lines(lines), headers, sources, clip_last, broadcast_limit,
                             bytes_of_headers)
     observations = derive_day(require_keys(cast_fields(slice_fields(sliced))))
-    rejects = without_header(sources, headers).select("source", "size")
+    reason = F.when(F.col("size") == 0, "empty").otherwise("no header")
+    if "offset" in sources.columns:
+        reason = F.when(F.col("offset") < 0, "damaged").otherwise(reason)
+    rejects = without_header(sources, headers).select("source", "size", reason.alias("reason"))
     return Ingested(observations, rejects)
 
 
@@ -181,7 +197,11 @@ def slice_fields(lines: DataFrame, fields: Sequence[str] = tuple(OBSERVATION_FIE
     cut = """trim(CASE WHEN narrow
         THEN CAST(substring(CAST({line} AS BINARY), {field}_start, {field}_length) AS STRING)
         ELSE substring({line}, {field}_start, {field}_length) END) AS {field}"""
-    return lines.selectExpr(*[cut.format(line=line, field=field) for field in fields])
+    cells = lines.selectExpr(*[cut.format(line=line, field=field) for field in fields])
+    # Catalyst moves filters on the cells below this projection and into the header join,
+    # with a copy of the cutting expressions for each. It does not move them past metrics,
+    # while unused cells are still pruned. So every requested field is cut once.
+    return cells.observe(f"cut_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("lines"))
 
 
 def cast_fields(fields: DataFrame,

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempspan.functions.columns import blank_to_null, to_day, to_double
+from tempspan.operators.daily import daily_extremes
 from tempspan.schema import OBSERVATION_FIELDS, TIME_FORMAT
+from tempspan.sources import archives
 from tempspan.sources import observations as obs
 from tempspan.sources.archives import read_archives
 from tempspan.sources.headers import detect_headers, header_slices
@@ -192,23 +194,40 @@ def test_nested_directories_gzip_and_hidden_names(spark, tmp_path):
     assert [r.TX_DRYB_10 for r in rows] == [1.0, 2.0]
 
 
-def test_damaged_file_does_not_fail_the_rest(spark, tmp_path):
+def test_damaged_file_fails_or_is_named(spark, tmp_path):
     write(tmp_path / "a.txt", document([observation(TIME, 1.0)]))
     (tmp_path / "b.gz").write_bytes(b"this is no gzip stream")
-    rows, found = read(spark, tmp_path)
-    assert [r.TX_DRYB_10 for r in rows] == [1.0]
-    assert names(found.rejects) == ["b.gz"]
     with pytest.raises(Exception, match="b.gz|gzip"):
-        read_observations(spark, str(tmp_path), skip_damaged=False)
+        read_observations(spark, str(tmp_path)).observations.collect()
+    found = read_observations(spark, str(tmp_path), skip_damaged=True)
+    assert [r.TX_DRYB_10 for r in found.observations.collect()] == [1.0]
+    assert [(r.source.rsplit("/", 1)[1], r.reason) for r in found.rejects.collect()] == [
+        ("b.gz", "damaged")]
 
 
-def test_lines_before_the_damage_are_kept(spark, tmp_path):
+def test_cut_file_fails_or_is_left_out_as_a_whole(spark, tmp_path):
     many = [observation(TIME + dt.timedelta(minutes=10 * i), f"{i * 7919 % 1000}.5")
             for i in range(3000)]
     packed = gzip.compress(document(many).encode())
     (tmp_path / "a.gz").write_bytes(packed[: len(packed) // 2])
-    rows, _ = read(spark, tmp_path)
-    assert 0 < len(rows) < 3000 and rows[0].TX_DRYB_10 == 0.5
+    (tmp_path / "two streams.gz").write_bytes(
+        gzip.compress(document(many[:5]).encode()) + gzip.compress(document(many[5:9]).encode()))
+    with pytest.raises(Exception, match="a.gz|Unexpected end|EOF"):
+        read_observations(spark, str(tmp_path)).observations.collect()
+    found = read_observations(spark, str(tmp_path), skip_damaged=True)
+    assert len(found.observations.collect()) == 9
+    assert [(r.source.rsplit("/", 1)[1], r.reason) for r in found.rejects.collect()] == [
+        ("a.gz", "damaged")]
+
+
+def test_lone_carriage_returns_do_not_end_a_line(spark, tmp_path):
+    text = "one\rstill one\r\ntwo\n"
+    write(tmp_path / "t" / "a.txt", text)
+    (tmp_path / "a.tgz").write_bytes(tar_of({"m": text}))
+    expected = ["one\rstill one", "two"]
+    from_folder = [r.value for r in scan_lines(spark, str(tmp_path / "t")).collect()]
+    from_archive = [r.value for r in read_archives(spark, str(tmp_path)).collect()]
+    assert from_folder == from_archive == expected
 
 
 def test_names_with_spaces_and_repeated_rows(spark, tmp_path):
@@ -297,6 +316,17 @@ def test_only_needed_fields_are_cut(spark, tmp_path):
     assert text.count("try_cast") == 1
 
 
+def test_each_field_is_cut_once(spark, tmp_path):
+    write(tmp_path / "a", document([observation(TIME, 1.0)]))
+    found = read_observations(spark, str(tmp_path)).observations
+    days = daily_extremes(found, tn="TN_DRYB_10")
+    plan = days._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        assert "Join" not in line or "_start" not in line
+    for field in ("DTG", "LOCATION", "TX_DRYB_10", "TN_DRYB_10"):
+        assert plan.count(f"as binary), {field}_start") == 1
+
+
 def test_headers_of_documents_in_a_column(spark):
     documents = spark.createDataFrame(
         [(1, "x\n# a\n# DTG one\n# DTG two\n"), (2, "# dtg\nDTG"), (3, None)], "id int, text string")
@@ -340,24 +370,37 @@ def test_archives(spark, tmp_path):
         "../two": document([observation(TIME, 2.0)], [FIELDS[0], *FIELDS[:0:-1]], newline="\r\n"),
         "d/none": document([observation(TIME, 9.0)], head=False),
         "d/empty": "",
-        "d/.hidden": document([observation(TIME, 9.0)]),
+        "d/_kept": document([observation(TIME, 4.0)]),
     }))
     (tmp_path / "b.tar").write_bytes(tar_of({"three": document([observation(TIME, 3.0)])}, "w"))
+    (tmp_path / "e.tar.xz").write_bytes(tar_of({"five": document([observation(TIME, 5.0)])}, "w:xz"))
     (tmp_path / "c.tar.gz").write_bytes(b"broken")
-    found = observations_from_lines(read_archives(spark, str(tmp_path)))
+    with pytest.raises(Exception, match="damaged archive .*c.tar.gz"):
+        read_archives(spark, str(tmp_path))
+    found = observations_from_lines(read_archives(spark, str(tmp_path), skip_damaged=True))
     got = found.observations.collect()
-    assert sorted(r.TX_DRYB_10 for r in got) == [1.0, 2.0, 3.0]
-    assert sorted(r.source.rsplit("/", 1)[1] for r in found.rejects.collect()) == [
-        "c.tar.gz", "empty", "none"]
+    assert sorted(r.TX_DRYB_10 for r in got) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert sorted((r.source.rsplit("/", 1)[1], r.reason) for r in found.rejects.collect()) == [
+        ("c.tar.gz", "damaged"), ("empty", "empty"), ("none", "no header")]
 
 
-def test_archive_that_breaks_off_keeps_what_came_before(spark, tmp_path):
+def test_archive_that_breaks_off_fails_or_is_named(spark, tmp_path):
     texts = {f"m{i}": document([observation(TIME, float(i))]) for i in range(3)}
     whole = tar_of(texts, "w")
     (tmp_path / "a.tar").write_bytes(whole[: whole.index(b"m2") + 700])
-    found = observations_from_lines(read_archives(spark, str(tmp_path)))
+    with pytest.raises(Exception, match="damaged archive"):
+        read_archives(spark, str(tmp_path))
+    found = observations_from_lines(read_archives(spark, str(tmp_path), skip_damaged=True))
     assert {r.TX_DRYB_10 for r in found.observations.collect()} >= {0.0, 1.0}
-    assert found.rejects.count() >= 1
+    assert "damaged" in {r.reason for r in found.rejects.collect()}
+
+
+def test_lines_longer_than_a_block_and_across_blocks(spark, tmp_path, monkeypatch):
+    lines = ["x" * n + "ä" for n in (3, 5000, 1, 0, 70, 4096)]
+    (tmp_path / "a.tar").write_bytes(tar_of({"m": "\n".join(lines) + "\n", "n": "no end"}, "w"))
+    monkeypatch.setattr(archives, "BLOCK_BYTES", 64)
+    got = [(r.source[-1], r.value) for r in read_archives(spark, str(tmp_path)).collect()]
+    assert got == [("m", x) for x in lines] + [("n", "no end")]
 
 
 def test_union_of_sources_keeps_repeated_rows(spark, tmp_path):

@@ -13,16 +13,12 @@ def connection():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(compare.ORACLE_SQL))
 def test_query_equals_sql(spark, connection, name):
     assert compare.difference(spark, connection, SF, name) is None
 
 
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"input_inventory"}
+    assert set(compare.QUERIES) == set(compare.ORACLE_SQL)
     assert contract.entry(spark).count() == 11
-    listed = contract.queries()["input_inventory"](spark, SF).collect()
-    assert [r.name for r in listed] == ["benchmark.parquet", "conversations.parquet",
-                                        "customer.parquet", "documents.parquet",
-                                        "embeddings.parquet"]

@@ -1,6 +1,8 @@
+import dataclasses
 import datetime as dt
 import json
 import tarfile
+from pathlib import Path
 
 import pytest
 
@@ -16,12 +18,14 @@ from tempspan.plans import job
 from tempspan.runtime import fresh_folder, shared_folder, write_shared
 from tempspan.sinks.report import print_report, quality_lines
 from tests.files import (
-    FIELDS, GOLDEN_COLD, GOLDEN_HOT, document, golden_observations, write,
+    FIELDS, GOLDEN_COLD, GOLDEN_HOT, document, golden_observations, observation,
+    write,
 )
 
 OBSERVATIONS = "LOCATION string, DATE date, TX_DRYB_10 double, TN_DRYB_10 double"
 PERIODS = ("LOCATION string, kind string, start_date date, end_date date, duration long, "
            "extreme_days long, extreme_temperature double")
+# The published headings.
 HOT_HEADING = "From date,To date (inc.),Duration (in days),Number of tropical days,Max temperature"
 COLD_HEADING = ("From date,To date (inc.),Duration (in days),Number of high frost days,"
                 "Min temperature")
@@ -211,7 +215,9 @@ def test_report_lines(spark, capsys):
     assert shown[1:3] == ["Title", "=" * 80]
     assert shown[3] == ("From date    | To date (inc.) | Duration (days) | Tropical days   | "
                         "Max temp (°C)  ")
-    assert shown[5:7] == lines[:2] and "more rows" in shown[7]
+    assert shown[5:] == lines[:2]
+    print_report(results, "Title", HEATWAVE.report_titles())
+    assert capsys.readouterr().out.splitlines()[5:] == lines
     print_report(results.filter("false"), "Title", HEATWAVE.report_titles(), rows=2)
     assert capsys.readouterr().out.splitlines()[-1] == "No results found."
 
@@ -266,7 +272,10 @@ def test_job_gives_the_golden_files(spark, golden_input, tmp_path, capsys, caplo
     records = len(golden_observations()) + 4
     assert f"loaded {records} records" in caplog.text
     assert "found 9 heatwaves" in caplog.text and "found 1 coldwaves" in caplog.text
-    assert "none.txt - no header" in caplog.text and "6 files" in caplog.text
+    assert "193 daily records for coldwaves" in caplog.text
+    assert "left out 1 inputs: no header" in caplog.text and "6 files" in caplog.text
+    left_out = spark.read.option("header", True).csv(str(tmp_path / "rejects")).collect()
+    assert [(r.source.rsplit("/", 1)[1], r.reason) for r in left_out] == [("none.txt", "no header")]
 
 
 def test_job_modes_and_all_stations(spark, golden_input, tmp_path, capsys):
@@ -280,6 +289,54 @@ def test_job_modes_and_all_stations(spark, golden_input, tmp_path, capsys):
         "heatwaves", "coldwaves"}
 
 
+def test_job_lists_every_input_it_leaves_out(spark, tmp_path, capsys):
+    rows = golden_observations()
+    write(tmp_path / "in" / "good.txt", document(rows))
+    for i in range(50):
+        write(tmp_path / "in" / f"bad{i}.txt", document(rows[:2], head=False))
+    job.run(spark, str(tmp_path / "in"), "heatwaves", str(tmp_path / "out"))
+    left_out = spark.read.option("header", True).csv(str(tmp_path / "out" / "rejects")).collect()
+    assert len({r.source for r in left_out}) == 50 and {r.reason for r in left_out} == {"no header"}
+
+
+def test_job_prints_all_rows_of_a_station(spark, tmp_path, capsys):
+    start, rows = dt.date(2003, 1, 1), []
+    for wave in range(150):
+        for day in range(5):
+            at = dt.datetime.combine(start + dt.timedelta(7 * wave + day), dt.time(12))
+            rows.append(observation(at, 31.0))
+    write(tmp_path / "in" / "a.txt", document(rows))
+    job.run(spark, str(tmp_path / "in"), "heatwaves", str(tmp_path / "out"))
+    printed = [x for x in capsys.readouterr().out.splitlines() if "31.0" in x]
+    assert len(printed) == 150
+    job.run(spark, str(tmp_path / "in"), "heatwaves", str(tmp_path / "out"), rows_shown=3)
+    assert len([x for x in capsys.readouterr().out.splitlines() if "31.0" in x]) == 3
+
+
+def test_job_removes_its_shared_tables(spark, golden_input, tmp_path):
+    shared = Path(shared_folder(spark)) / "tempspan"
+    before = {p for p in shared.glob("*/*")}
+    job.run(spark, str(golden_input), "both", str(tmp_path))
+    assert {p for p in shared.glob("*/*")} == before
+    with pytest.raises(ValueError):
+        write(tmp_path / "bad" / "x.txt", document([], head=False) + "x\n")
+        job.run(spark, str(tmp_path / "bad"), "both", str(tmp_path))
+    assert {p for p in shared.glob("*/*")} == before
+
+
+def test_job_runs_a_rule_of_the_callers_own(spark, golden_input, tmp_path):
+    mild = dataclasses.replace(HEATWAVE, kind="mild", temp_threshold=24.0)
+    job.run(spark, str(golden_input), "heatwaves", str(tmp_path), rules=[HEATWAVE, COLDWAVE, mild])
+    assert len(text_of(tmp_path / "mild")) > 1 and not (tmp_path / "coldwaves").exists()
+
+
+def test_result_files_with_other_headings_fail(spark, tmp_path):
+    write(tmp_path / "r" / "a.csv", "To date (inc.),From date,Duration (in days),"
+          "Number of tropical days,Max temperature\n13 Aug 2003,31 Jul 2003,14,7,35.0\n")
+    with pytest.raises(Exception, match="CSV header|column"):
+        read_results_csv(spark, str(tmp_path / "r"), HEATWAVE, keys=()).collect()
+
+
 def test_job_without_results(spark, golden_input, tmp_path, capsys):
     job.run(spark, str(golden_input), "both", str(tmp_path), station="nowhere",
             check_data_quality=True)
