@@ -8,9 +8,12 @@ the shared folder in between, so exact sizes decide how the lines get their slic
    do not move.
 2. With more files than that, those that differ from the most common header are
    broadcast, when they stay within the limit, and all others get its slices.
-3. Beyond that, lines and headers meet in a shuffled join by file *and* chunk of the file.
-   A chunk holds at most ``CHUNK_BYTES`` of text, so no key grows with the size of a file,
-   also when one file holds a third of everything.
+3. Beyond that, the files are split into ranges of their paths whose headers fit the limit
+   each. Every range has a scan and a broadcast of its own; Spark opens only the files of
+   the range, so no file is read twice and the lines do not move.
+4. Where not even one range fits, which takes a limit near the size of a single header,
+   lines and headers meet in a shuffled join by file *and* chunk of the file. A chunk holds
+   at most ``CHUNK_BYTES`` of text, so no key grows with the size of a file.
 
 Departures from a plain left-to-right reading of the format, on purpose: see ``headers``
 for missing and reordered fields, and ``to_double`` for NaN.
@@ -24,7 +27,7 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.functions.columns import blank_to_null, to_day, to_double
@@ -106,8 +109,11 @@ def layout_bytes(headers: DataFrame) -> int:
 
     A broadcast row holds its key twice and eight bytes per number.
     """
-    per_row = 2 * F.octet_length("source") + 2 * 8 * len(OBSERVATION_FIELDS) + 128
-    return headers.agg(F.coalesce(F.sum(per_row), F.lit(0))).first()[0]
+    return headers.agg(F.coalesce(F.sum(row_bytes()), F.lit(0))).first()[0]
+
+
+def row_bytes() -> Column:
+    return 2 * F.octet_length("source") + 2 * 8 * len(OBSERVATION_FIELDS) + 128
 
 
 def attach_layouts(lines: DataFrame, headers: DataFrame, sources: DataFrame,
@@ -127,7 +133,28 @@ def attach_layouts(lines: DataFrame, headers: DataFrame, sources: DataFrame,
     if layout_bytes(others) <= broadcast_limit:
         default = slices(lines.sparkSession.createDataFrame([(common,)], "header string"))
         return attach_by_difference(measured, slices(others), default.first().asDict())
-    return attach_by_chunk(measured, slices(headers))
+    ranges = source_ranges(headers, bytes_of_headers, broadcast_limit)
+    if not ranges:
+        return attach_by_chunk(measured, slices(headers))
+    groups = [(measured.filter(r), slices(headers.filter(r))) for r in ranges]
+    return reduce(DataFrame.unionByName, [attach_by_broadcast(*group) for group in groups])
+
+
+def source_ranges(headers: DataFrame, bytes_of_headers: int, limit: int) -> list[Column]:
+    """Conditions that split the sources into ranges whose headers fit the limit each; none
+    when a single range does not fit."""
+    wanted = 2 * -(-bytes_of_headers // max(limit, 1))
+    if wanted > headers.count():
+        return []
+    dealt = headers.repartitionByRange(wanted, "source").withColumn("part", F.spark_partition_id())
+    parts = dealt.groupBy("part").agg(
+        F.min("source").alias("low"), F.sum(row_bytes()).alias("bytes")).orderBy("low").collect()
+    if max(part["bytes"] for part in parts) > limit:
+        return []
+    lows = [part["low"] for part in parts]
+    ends = [F.col("source") < high for high in lows[1:]] + [F.lit(True)]
+    starts = [F.lit(True)] + [F.col("source") >= low for low in lows[1:]]
+    return [start & end for start, end in zip(starts, ends)]
 
 
 def most_common(headers: DataFrame) -> str:

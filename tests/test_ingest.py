@@ -289,6 +289,23 @@ def test_the_ways_to_attach_slices_agree(spark, mixed_files, set_conf):
     assert all_files == only_others == by_chunk
 
 
+def test_ranges_of_files_are_read_apart(spark, tmp_path, set_conf):
+    set_conf("spark.sql.adaptive.enabled", "false")
+    for i in range(12):
+        write(tmp_path / f"f{i:02}", document([observation(TIME, float(i))], default=21 + i))
+    write(tmp_path / "none", document([observation(TIME, 99.0)], head=False))
+    per_file = obs.layout_bytes(file_headers(scan_lines(spark, str(tmp_path)))) // 12
+    found = read_observations(spark, str(tmp_path), broadcast_limit=4 * per_file)
+    frame = found.observations
+    assert sorted(r.TX_DRYB_10 for r in frame.collect()) == [*map(float, range(12))]
+    plan = frame._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    opened = [s.metrics().apply("numFiles").value() for s in scans if "FileScan text" in s.toString()]
+    assert len(opened) > 1 and max(opened) < 12 and "chunk" not in plan.toString()
+    assert sum(opened) <= 13
+
+
 def test_plan_does_not_grow_with_the_number_of_files(spark, tmp_path):
     def plan_size(count):
         for i in range(count):

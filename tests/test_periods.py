@@ -108,6 +108,14 @@ def test_repeated_days(spark):
     assert (row.duration, row.extreme_days, row.highest, row.lowest) == (3, 2, 32.0, 26.0)
 
 
+def test_repeated_rows_of_a_day_count_once(spark):
+    rows = series([26.0] * 6 + [31.0]) * 3
+    assert detect(frame(spark, rows), HEATWAVE).count() == 0
+    rows = series([26.0, 31.0, 31.0, 31.0, 26.0]) * 3
+    got = detect(frame(spark, rows), HEATWAVE).first()
+    assert (got.duration, got.tropical_days) == (5, 3)
+
+
 def test_rows_without_a_day_are_in_no_run(spark):
     days = frame(spark, series([30.0] * 5) + [("a", None, 40.0, 40.0)])
     assert [(r.duration, r.max_temperature) for r in periods_of(days, HEATWAVE).collect()] == [
