@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
-from conftest import PROSE, SF, TEXTS, by_id
+from samples import PROSE, SF, TEXTS, by_id
 
 import corpus_pipeline
 from tempspan.llm import components, decontamination, huffman, jaccard_join, sharding, token_files

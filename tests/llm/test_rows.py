@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import tokenizers
-from conftest import LONG, PROSE, TEXTS, by_id
+from samples import LONG, PROSE, TEXTS, by_id
 from pyspark.sql import functions as F
 
 from tempspan.llm import byte_bpe, html_text, language_id, license_scan, quality_rules, token_counts
