@@ -24,21 +24,20 @@ replaced.
 from __future__ import annotations
 
 import base64
-import functools
 from collections.abc import Iterable, Iterator
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempspan.llm.tables import given_columns, worker_memory
 from tempspan.llm.token_counts import merge_count, pretoken_pattern
 
 RECURSIVE_BYTES = 128
 #: Words and pieces that a Python worker remembers, and the longest that it does.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 REMEMBERED_BYTES = 128
 #: Text that is worked on at once, and rows that one DuckDB query gets.
 PORTION_BYTES = 4_000_000
@@ -234,10 +233,9 @@ class Codec:
         return result
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """One codec for each Python worker."""
-    return Codec(path, pattern)
+    """The Python worker's codec."""
+    return worker_memory(("byte bpe", path, pattern), lambda: Codec(path, pattern))
 
 
 def portions(values: list, limit: int) -> Iterator[list]:
@@ -261,10 +259,10 @@ def _mapped(frame: DataFrame, source: str, added: dict[str, T.DataType], work) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work([x.as_py() for x in batch.columns[-1]])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, *added])
+            made = work([x.as_py() for x in batch.column(at)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=[*names, *added])
 
-    given = frame.select(*(F.col(f"`{n}`") for n in names), F.col(f"`{source}`").alias("source column"))
+    given, at = given_columns(frame, names, source)
     return given.mapInArrow(run, schema)
 
 

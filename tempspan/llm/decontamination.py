@@ -18,7 +18,6 @@ give no rows or no regions; other columns stay, clashing ones are replaced.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempspan.llm.tables import given_columns, worker_memory
+
 REGIONS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>"
 ARROW_REGIONS = pa.list_(
     pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
@@ -49,8 +50,11 @@ class MatchRule:
         return max(0, min(int(self.edit_share * m), (m - self.q) // self.q))
 
 
-@functools.cache
 def fold_table() -> np.ndarray:
+    return worker_memory("letters and digits", _fold_table)
+
+
+def _fold_table() -> np.ndarray:
     """For each code point its lower-case letter or digit, or a space."""
     table = np.full(0x110000, 32, np.uint32)
     for code in range(0x110000):
@@ -215,12 +219,10 @@ def with_regions(
     """
     spark = documents.sparkSession
     kept = [c for c in documents.columns if c != "regions"]
-    result = documents.select(*(F.col(f"`{c}`") for c in kept)).withColumn(
-        "regions", F.array().cast(REGIONS)
-    )
+    given, at = given_columns(documents, kept, text)
+    result = given.withColumn("regions", F.array().cast(REGIONS))
     for block in blocks(benchmark, item, item_text, rule):
         shared = spark.sparkContext.broadcast(block)
-        at = kept.index(text)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -29,9 +29,10 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempspan.llm.tables import given_columns
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
@@ -303,9 +304,9 @@ def with_main_text(pages: DataFrame, html: str = "html", sigma: float = 1.0) ->
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(x.as_py(), sigma) for x in batch.columns[-1]]
+            texts = [main_text(x.as_py(), sigma) for x in batch.column(at)]
             made = [pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=[*names, *added])
 
-    given = pages.select(*(F.col(f"`{n}`") for n in names), F.col(f"`{html}`").alias("source page"))
+    given, at = given_columns(pages, names, html)
     return given.mapInArrow(extract, schema)

@@ -19,7 +19,6 @@ empty table gives no rows; other columns stay, clashing ones are replaced.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempspan.llm.tables import given_columns, worker_memory
+
 UNDETERMINED = "und"
 #: N-grams that are hashed at once; odd multipliers of the hash.
 BLOCK = 1 << 18
@@ -60,8 +61,11 @@ class Model:
     settings: Settings
 
 
-@functools.cache
 def fold_table() -> np.ndarray:
+    return worker_memory("letters", _fold_table)
+
+
+def _fold_table() -> np.ndarray:
     """For each code point its lower-case letter, or a space if it is no letter."""
     table = np.full(0x110000, 32, np.uint32)
     for code in range(0x110000):
@@ -96,7 +100,8 @@ def buckets(text: str, settings: Settings) -> Iterator[np.ndarray]:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    """Whether a document is held out of training; one without an id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def _texts(batch: pa.RecordBatch, name: str) -> list[str]:
@@ -264,14 +269,14 @@ def with_language(documents: DataFrame, model: Model, text: str = "text") -> Dat
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [predict_text(x.as_py(), shared.value) for x in batch.columns[-1]]
+            found = [predict_text(x.as_py(), shared.value) for x in batch.column(at)]
             made = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*names, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=[*names, *added])
 
-    given = documents.select(*(F.col(f"`{n}`") for n in names), F.col(f"`{text}`").alias("whole text"))
+    given, at = given_columns(documents, names, text)
     return given.mapInArrow(predict, schema)
 
 

@@ -16,7 +16,6 @@ an empty table gives no rows; other columns stay, clashing ones are replaced.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 from collections.abc import Iterator
@@ -25,9 +24,10 @@ from dataclasses import dataclass
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tempspan.llm.tables import given_columns, worker_memory
+
 #: Pre-tokens that one Python worker remembers, and the longest that it does.
 REMEMBERED = 1_000_000
 REMEMBERED_CHARS = 64
@@ -99,9 +99,8 @@ def pretoken_pattern(pattern: str) -> regex.Pattern:
     )
 
 
-@functools.lru_cache(maxsize=4)
 def load_rule(path: str, pattern: str) -> CountRule:
-    """Read a byte-level tokenizer file once per Python worker."""
+    """Read a byte-level tokenizer file."""
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
     number: dict[str, int] = {}
@@ -136,9 +135,8 @@ class Counts(dict):
         return count
 
 
-@functools.lru_cache(maxsize=4)
 def _counts(path: str, pattern: str) -> Counts:
-    return Counts(load_rule(path, pattern))
+    return worker_memory(("counts", path, pattern), lambda: Counts(load_rule(path, pattern)))
 
 
 def count_text(text: str | None, path: str, pattern: str) -> int:
@@ -168,14 +166,14 @@ def with_token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x.as_py() or "" for x in batch.column(batch.num_columns - 1)]
+            texts = [x.as_py() or "" for x in batch.column(at)]
             tokens = [count_text(x, path, pattern) for x in texts]
             counted = [
                 pa.array([len(x.encode("utf-8")) for x in texts], pa.int64()),
                 pa.array(tokens, pa.int64()),
                 pa.array([n > limit for n in tokens], pa.bool_()),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *counted], names=[*names, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *counted], names=[*names, *added])
 
-    given = documents.select(*(F.col(f"`{n}`") for n in names), F.col(f"`{text}`").alias("whole text"))
+    given, at = given_columns(documents, names, text)
     return given.mapInArrow(count, schema)
