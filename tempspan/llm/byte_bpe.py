@@ -40,8 +40,8 @@ RECURSIVE_BYTES = 128
 REMEMBERED = 500_000
 REMEMBERED_BYTES = 128
 #: Text that is worked on at once, and rows that one DuckDB query gets.
-PORTION_BYTES = 4_000_000
-QUERY_SYMBOLS = 300_000
+PORTION_BYTES = 2_000_000
+QUERY_SYMBOLS = 200_000
 POSITION_BITS = 10
 POSITIONS = (1 << POSITION_BITS) - 1
 
