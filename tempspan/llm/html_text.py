@@ -8,7 +8,10 @@ lines. The content region is the element that holds the content lines: the page'
 ``article`` or ``main`` where these hold most of their text, otherwise the deepest element
 that does. All lines of the region are returned, short ones too, except those inside
 furniture: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-hidden elements and reader comments, known by tag, role, class or id.
+hidden elements and reader comments, known by tag, role, class or id. A class, an id or a
+form proves little, since wrappers of whole pages bear such names too: these marks count only
+on elements that hold neither most of the page's weight nor its article or main. Where they
+leave no article, main or content line, they do not count at all.
 
 Every page is worked on inside its own row; nothing is shuffled and a page of n characters
 takes time in proportion to n.
@@ -43,11 +46,11 @@ BLOCK = frozenset(
 )
 #: Elements whose text is never the article's.
 FURNITURE = frozenset(
-    "aside button canvas dialog footer form frameset head iframe math menu nav noscript object "
+    "aside button canvas dialog footer frameset head iframe math menu nav noscript object "
     "script search select style svg template textarea title audio video".split()
 )
 ROLES = frozenset(
-    "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation "
+    "alert alertdialog banner complementary contentinfo dialog menu menubar navigation "
     "search tablist toolbar".split()
 )
 #: Words in a class or id that name furniture.
@@ -60,6 +63,11 @@ HINTS = frozenset(
     "signup skyscraper social sponsor sponsored subscribe subscription taboola tags toc toolbar "
     "topbar widget widgets".split()
 )
+#: Those of HINTS that name lists of other texts, which may be longer than the article.
+LIST_HINTS = frozenset(
+    "comment comments commentlist disqus outbrain promoted recommended related replies respond "
+    "responses sponsored taboola".split()
+)
 #: These name furniture only outside the article.
 OUTER_HINTS = frozenset("header headers bottom top".split())
 #: A new one ends an open one of the same group, up to the nearest container.
@@ -71,48 +79,56 @@ CONTAINERS = frozenset("article aside body div dl footer form header main nav ol
 ENDS_PARAGRAPH = BLOCK - frozenset("button option optgroup script style svg template iframe".split())
 
 
+#: How an element is marked as furniture: not, by a name or as a form, as a list of other
+#: texts by a name, or beyond doubt.
+PLAIN, NAMED, LISTED, SURE = range(4)
+
+
 @dataclass
 class Line:
     text: str
     n_tags: int
     n_linked: int
     inside: int
-    furniture: bool
 
 
 @dataclass
 class Element:
     tag: str
     number: int
-    furniture: bool
     in_article: bool
 
 
 @dataclass
 class Found:
-    """A page's lines, and of its elements (0 is the page) the tag and the parent."""
+    """A page's lines, and of its elements (0 is the page) the tag, the parent and the mark."""
 
     lines: list[Line] = field(default_factory=list)
     tags: list[str] = field(default_factory=lambda: [""])
     parents: list[int] = field(default_factory=lambda: [0])
+    marks: list[int] = field(default_factory=lambda: [PLAIN])
 
 
-def _furniture(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _mark(tag: str, attributes: list[tuple[str, str | None]], in_article: bool) -> int:
     if tag in FURNITURE or (tag == "header" and not in_article):
-        return True
+        return SURE
     if tag in ("html", "body"):
-        return False
+        return PLAIN
     given = dict(attributes)
     style = (given.get("style") or "").replace(" ", "").lower()
     if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in style:
-        return True
-    if (given.get("role") or "").lower() in ROLES:
-        return True
+        return SURE
+    role = (given.get("role") or "").lower()
+    if role in ROLES:
+        return SURE
     named = f"{given.get('class') or ''} {given.get('id') or ''}"
     words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))
     if tag in ("article", "main"):
         words &= {"comment", "comments", "sponsored", "ad", "advert", "related"}
-    return bool(words & HINTS) or (not in_article and bool(words & OUTER_HINTS))
+    if words & LIST_HINTS:
+        return LISTED
+    named = words & HINTS or (not in_article and words & OUTER_HINTS)
+    return NAMED if named or tag == "form" or role == "form" else PLAIN
 
 
 class Events(HTMLParser):
@@ -130,11 +146,8 @@ class Events(HTMLParser):
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            furniture = bool(self.open) and self.open[-1].furniture
             inside = self.open[-1].number if self.open else 0
-            self.found.lines.append(
-                Line(text, max(self.n_tags, 1), self.n_linked, inside, furniture)
-            )
+            self.found.lines.append(Line(text, max(self.n_tags, 1), self.n_linked, inside))
             self.n_tags = 0
         self.n_linked = 0
         self.text.clear()
@@ -168,12 +181,12 @@ class Events(HTMLParser):
                 break
         above = self.open[-1] if self.open else None
         in_article = bool(above and above.in_article)
-        furniture = bool(above and above.furniture) or _furniture(tag, attributes, in_article)
+        self.found.marks.append(_mark(tag, attributes, in_article))
         in_article = in_article or tag in ("article", "main")
         number = len(self.found.tags)
         self.found.tags.append(tag)
         self.found.parents.append(above.number if above else 0)
-        self.open.append(Element(tag, number, furniture, in_article))
+        self.open.append(Element(tag, number, in_article))
         self.n_open[tag] += 1
 
     def close_tag(self, tag: str) -> None:
@@ -245,6 +258,66 @@ def marked_lines(lines: list[Line], sigma: float) -> np.ndarray:
     return ratios >= threshold(ratios)
 
 
+def summed(values: list[float], parents: list[int]) -> list[float]:
+    """The values of elements, each with those of all elements inside it."""
+    total = list(values)
+    for number in range(len(total) - 1, 0, -1):  # a parent has a smaller number
+        total[parents[number]] += total[number]
+    return total
+
+
+def inherited(values: list[int], parents: list[int]) -> list[int]:
+    """The greatest value of an element and those around it."""
+    greatest = list(values)
+    for number in range(1, len(greatest)):
+        greatest[number] = max(greatest[number], greatest[parents[number]])
+    return greatest
+
+
+def weighed(found: Found, marked: np.ndarray, left: list[bool]) -> list[float]:
+    """What elements weigh: their lines' text, a quarter of it where a line is not marked as
+    content, and nothing of lines directly inside elements that are not ``left``."""
+    weight = [0.0] * len(found.tags)
+    for line, is_content in zip(found.lines, marked):
+        if left[line.inside]:
+            weight[line.inside] += len(line.text) * (1 if is_content else 0.25)
+    return summed(weight, found.parents)
+
+
+def settled_marks(found: Found, marked: np.ndarray) -> list[int]:
+    """The marks of elements with those around them, after names that prove nothing are gone.
+
+    A name or form does not count on an element that holds main or the longest article or, on
+    a page without article and main outside of marks, most of the weight. A list of other
+    texts may have articles of its own and be longer than the article; it must hold main, or
+    with most of the weight the only main heading or nearly all.
+    """
+    tags, parents = found.tags, found.parents
+    marks, around = list(found.marks), inherited(found.marks, parents)
+    if NAMED not in marks and LISTED not in marks:
+        return around
+    weight = weighed(found, marked, [m != SURE for m in around])
+
+    def held(tag: str, numbers: set[int]) -> list[float]:
+        return summed([float(tags[n] == tag and n in numbers) for n in range(len(tags))], parents)
+
+    seen = {n for n, m in enumerate(around) if m != SURE and weight[n]}
+    articles = [n for n in seen if tags[n] == "article" and around[n] <= NAMED and marks[n] == PLAIN]
+    longest = set() if not articles else {max(articles, key=lambda n: weight[n])}
+    free = any(tags[n] in ("article", "main") and around[n] == PLAIN for n in seen)
+    mains, longest, headings = held("main", seen), held("article", longest), held("h1", seen)
+    for n, mark in enumerate(found.marks):
+        most = not free and 2 * weight[n] > weight[0]
+        if mark == NAMED and (mains[n] or longest[n] or most):
+            marks[n] = PLAIN
+        elif mark == LISTED and (
+            (mains[n] and tags[n] != "main")
+            or (most and headings[n] == headings[0] and (headings[n] or weight[n] >= 0.9 * weight[0]))
+        ):
+            marks[n] = PLAIN
+    return inherited(marks, parents)
+
+
 def content_lines(found: Found, sigma: float, share: float) -> list[Line]:
     """The lines of the content region, in page order.
 
@@ -254,13 +327,14 @@ def content_lines(found: Found, sigma: float, share: float) -> list[Line]:
     are mostly links and not marked are left out.
     """
     tags, parents = found.tags, found.parents
-    weight = [0.0] * len(tags)
     marked = marked_lines(found.lines, sigma)
-    for line, is_content in zip(found.lines, marked):
-        if not line.furniture:
-            weight[line.inside] += len(line.text) * (1 if is_content else 0.25)
-    for number in range(len(tags) - 1, 0, -1):  # a parent has a smaller number
-        weight[parents[number]] += weight[number]
+    marks = settled_marks(found, marked)
+    for counted in (NAMED, LISTED, SURE):  # the least mark that makes furniture
+        plain = [m < counted for m in marks]
+        weight = weighed(found, marked, plain)
+        settled = any(w and p and t in ("article", "main") for w, p, t in zip(weight, plain, tags))
+        if settled or any(c and plain[x.inside] for x, c in zip(found.lines, marked)):
+            break
     region, strict = {0}, True
     for tag in ("main", "article"):
         own = {n for n, name in enumerate(tags) if name == tag and weight[n]}
@@ -276,7 +350,7 @@ def content_lines(found: Found, sigma: float, share: float) -> list[Line]:
     return [
         x
         for x, is_content in zip(found.lines, marked)
-        if not x.furniture and within[x.inside]
+        if plain[x.inside] and within[x.inside]
         and (is_content or not strict or 2 * x.n_linked <= len(x.text))
     ]
 

@@ -75,6 +75,26 @@ def test_main_text():
         html_text.main_text(odd)
 
 
+STORY = [f"{w} paragraph, with words enough that nobody would take it for a menu, {PROSE[:89]}" for w in ("First", "Second", "Last")]
+BODY = "".join(f"<p>{x}</p>" for x in STORY)
+SIDE = "<div class=sidebar><p>About this site and its many friends</p></div><ul class=menu><li><a href=a>Home</a></ul>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content-sidebar-wrap'><div class=content>{BODY}</div>{SIDE}</div>",
+    f"<div class='has-sidebar'><article>{BODY}</article>{SIDE}</div>",
+    f"<div class='no-sidebar'><main>{BODY}</main></div>{SIDE}",
+    f"<div id=top><div>{BODY}</div>{SIDE}</div>",
+    f"<form id=aspnetForm><div>{BODY}</div>{SIDE}</form>",
+    f"<div class=with-sidebar><article><p>{STORY[0]}</p></article></div><div id=comments>"
+    + f"<article class=comment><p>{PROSE}</p></article>" * 9 + "</div>",
+    "".join(f"<div class=elementor-widget><p>{x}</p></div>" for x in STORY),
+])
+def test_names_of_wrappers_are_no_furniture(page):
+    story = STORY[:1] if "comments" in page else STORY
+    assert html_text.main_text(f"<html><body>{page}<footer>(c)</footer></body></html>") == "\n\n".join(story)
+
+
 def test_pages_against_their_article(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = html_text.with_main_text(pages).collect()
