@@ -4,9 +4,9 @@ The standard library's parser reports a page's tags and texts one after the othe
 gathered into lines, one for each run of text between block-level tags, with the number of
 tags seen meanwhile. The ratio of text to tags is smoothed over neighbouring lines with a
 Gaussian kernel, and a threshold between two clusters of smoothed ratios marks content
-lines. The content region is the element that holds the content lines: the page's
-``article`` or ``main`` where these hold most of their text, otherwise the deepest element
-that does. All lines of the region are returned, short ones too, except those inside
+lines. The content region is the element that holds the content lines: the page's ``main``
+or else ``article`` where these hold most of their text, otherwise the deepest element that
+holds them all, with the headings beside it. All lines of the region are returned, short ones too, except those inside
 furniture: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 hidden elements and reader comments, known by tag, role, class or id. A class, an id or a
 form proves little, since wrappers of whole pages bear such names too: these marks count only
@@ -76,6 +76,7 @@ ENDS = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 CONTAINERS = frozenset("article aside body div dl footer form header main nav ol section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_PARAGRAPH = BLOCK - frozenset("button option optgroup script style svg template iframe".split())
 
 
@@ -323,8 +324,11 @@ def content_lines(found: Found, sigma: float, share: float) -> list[Line]:
 
     An element weighs the text of its lines, lines that are not marked as content a quarter
     and furniture nothing. Articles and mains with at least ``share`` of a page's weight are
-    the region; otherwise it is the deepest element with nine tenths, and lines there that
-    are mostly links and not marked are left out.
+    the region, main before the articles in it; a single article without a main heading has
+    those before it. Otherwise the region is the deepest element with all marked lines, or,
+    if that has no main heading, the nearest one around it with a heading before it. Outside
+    of articles, and of a main without any, lines that are mostly links and not marked are
+    left out.
     """
     tags, parents = found.tags, found.parents
     marked = marked_lines(found.lines, sigma)
@@ -335,26 +339,57 @@ def content_lines(found: Found, sigma: float, share: float) -> list[Line]:
         settled = any(w and p and t in ("article", "main") for w, p, t in zip(weight, plain, tags))
         if settled or any(c and plain[x.inside] for x, c in zip(found.lines, marked)):
             break
-    region, strict = {0}, True
+    region, whole = set(), set()
     for tag in ("main", "article"):
         own = {n for n, name in enumerate(tags) if name == tag and weight[n]}
-        outer = [n for n in own if not own.intersection(_above(n, parents))]
-        if own and sum(weight[n] for n in outer) >= share * weight[0]:
-            region, strict = own, False
-    if strict:
-        whole = (n for n, w in enumerate(weight) if w >= 0.9 * weight[0] and tags[n] in CONTAINERS)
-        region = {max(whole, default=0)}
-    within = [False] * len(tags)
-    for number in range(len(tags)):
-        within[number] = number in region or (number > 0 and within[parents[number]])
+        inside = inherited([n in own for n in range(len(tags))], parents)
+        outer = {n for n in own if not inside[parents[n]]}
+        if outer and sum(weight[n] for n in outer) >= share * weight[0]:
+            region = outer
+            break
+    linked = {x.inside for x in found.lines if 2 * x.n_linked > len(x.text)}
+    headings = [n for n, tag in enumerate(tags) if tag in HEADINGS and plain[n] and weight[n] and n not in linked]
+    main_headings = [n for n in headings if tags[n] == "h1"]
+    if region:
+        articles = {n for n, tag in enumerate(tags) if tag == "article" and weight[n]}
+        within = inherited([n in region for n in range(len(tags))], parents)
+        whole = {n for n in articles if within[n]} or region
+        if len(region) == 1 and tag == "article" and not any(within[n] for n in main_headings):
+            (only,) = region
+            region |= {n for n in main_headings if n < only and parents[n] == parents[only]}
+    else:
+        region = {holding_all(found, marked, plain, headings)}
+    within = inherited([n in region for n in range(len(tags))], parents)
+    whole = inherited([n in whole for n in range(len(tags))], parents)
     return [
         x
         for x, is_content in zip(found.lines, marked)
         if plain[x.inside] and within[x.inside]
-        and (is_content or not strict or 2 * x.n_linked <= len(x.text))
+        and (is_content or whole[x.inside] or 2 * x.n_linked <= len(x.text))
     ]
 
 
+def holding_all(found: Found, marked: np.ndarray, plain: list[bool], headings: list[int]) -> int:
+    """The deepest container of all marked lines that are no furniture, or one around it.
+
+    If it has no main heading, it is the nearest one around it with a main heading or, as a
+    child, another heading before it. Headings that are links do not count.
+    """
+    tags, parents = found.tags, found.parents
+    holds = [0] * len(tags)
+    for line, is_content in zip(found.lines, marked):
+        holds[line.inside] += is_content and plain[line.inside]
+    holds = summed(holds, parents)
+    least = max((n for n, x in enumerate(holds) if x == holds[0] and tags[n] in CONTAINERS), default=0)
+    first = {n for n in headings if tags[n] == "h1"}
+    if summed([n in first for n in range(len(tags))], parents)[least]:
+        return least
+    beside = summed([n in first and n < least for n in range(len(tags))], parents)
+    for n in headings:
+        beside[parents[n]] += n < least
+    return next((n for n in _above(least, parents) if beside[n]), least)
+
+
 def _above(number: int, parents: list[int]) -> Iterator[int]:
     while number:
         number = parents[number]

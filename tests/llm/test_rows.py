@@ -95,6 +95,20 @@ def test_names_of_wrappers_are_no_furniture(page):
     assert html_text.main_text(f"<html><body>{page}<footer>(c)</footer></body></html>") == "\n\n".join(story)
 
 
+@pytest.mark.parametrize("n", [1, 40])
+@pytest.mark.parametrize("page", [
+    "<div class=page><h1>Title</h1><p class=lead>{lead}</p><div class=body>{body}</div></div>",
+    "<main><h1>Title</h1><p>{lead}</p><article>{body}</article></main>",
+    "<div class=page><div><h1>Title</h1><p>{lead}</p></div><section>{body}</section></div>",
+])
+def test_nothing_beside_the_longest_part_is_dropped(page, n):
+    lead = "A lead of some words that says what the story is about, as leads do."
+    html_ = page.format(lead=lead, body=BODY * n)
+    side = "<div class=sidebar>links</div><ul class=list><li><a href=a>Home</a><li><a href=b>News</a></ul>"
+    found = html_text.main_text(f"<html><body>{side}{html_}<footer>(c)</footer></body></html>")
+    assert found == "\n\n".join(["Title", lead, *STORY * n])
+
+
 def test_pages_against_their_article(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     rows = html_text.with_main_text(pages).collect()
