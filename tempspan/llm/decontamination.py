@@ -1,19 +1,25 @@
 """Benchmark decontamination: q-gram lemma filtering and banded alignment.
 
 Benchmark items and documents are folded to lower-case letters and digits with single
-spaces. Items are cut into overlapping windows. A window of m characters within k edits of a
-stretch of a document shares at least m - q + 1 - k * q of its q-grams with it, and these
-lie on k + 1 neighbouring diagonals (document position minus window position). So shared
-q-grams are counted in overlapping bands of 2 * (k + 1) diagonals, bands that reach the
-bound are retained, and a banded alignment decides whether the distance is within k.
-
-The benchmark is the stated query set: its windows are broadcast in blocks of a fixed number
+spaces. Every stretch of m = 100 characters of an item is a window; a shorter item is one
+itself. A window within k edits of a stretch of a document shares at least m - q + 1 - k * q
+of its q-grams with it, and these lie on k + 1 neighbouring diagonals (document position
+minus item position). So shared q-grams are counted in overlapping bands of 2 * (k + 1)
+diagonals, windows that reach the bound in a band are retained, and a banded alignment
+decides whether the distance is within k.
+
+The shortest quotation that is surely found has m folded characters, wherever in the item it
+begins, or is all of a shorter item; it may have k edits (6 in 100 characters). Shorter
+quotations are found if k edits complete them to a window, that is from m - k characters on.
+
+The benchmark is the stated query set: its items are broadcast in blocks of a fixed number
 of q-grams and every document is read against every block in its own task; nothing is
 shuffled and no document meets another.
 
-Defined results: null and empty texts have no regions; an item or window shorter than q
-characters after folding is never found; repeated rows give repeated results; empty tables
-give no rows or no regions; other columns stay, clashing ones are replaced.
+Defined results: null and empty texts have no regions; an item shorter than q characters
+after folding is never found; items without an id are searched like others, their regions
+have a null id and ``item_ids`` leaves them out; repeated rows give repeated results; empty
+tables give no rows or no regions; other columns stay, clashing ones are replaced.
 """
 
 from __future__ import annotations
@@ -34,13 +40,14 @@ ARROW_REGIONS = pa.list_(
 )
 FILTER_BITS = 22
 OUTSIDE = np.uint32(0xFFFFFFFF)
+#: Windows aligned at once.
+ALIGNED = 1024
 
 
 @dataclass(frozen=True)
 class MatchRule:
     q: int = 10
     window: int = 100
-    stride: int = 50
     edit_share: float = 0.06
     #: q-grams of one broadcast block (16 bytes each).
     block_grams: int = 2_000_000
@@ -86,13 +93,15 @@ def qgrams(plain: np.ndarray, q: int) -> np.ndarray:
 
 
 class Block:
-    """Windows of some benchmark items, their q-grams sorted, and a filter over them."""
+    """Some benchmark items, their q-grams sorted, and a filter over them."""
 
-    def __init__(self, windows: list[tuple[int, np.ndarray]], rule: MatchRule):
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], rule: MatchRule):
         self.rule = rule
-        self.items = np.array([item for item, _ in windows], np.int64)
-        self.windows = [w for _, w in windows]
-        grams = [qgrams(w, rule.q) for w in self.windows]
+        self.ids = list(dict.fromkeys(item for item, _ in items))
+        number = {item: k for k, item in enumerate(self.ids)}
+        self.items = [number[item] for item, _ in items]
+        self.texts = [text for _, text in items]
+        grams = [qgrams(text, rule.q) for text in self.texts]
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         self.grams = flat[order]
@@ -100,12 +109,12 @@ class Block:
         self.place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams] or [np.empty(0, np.int32)])[order]
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.grams >> np.uint64(64 - FILTER_BITS)] = True
-        sizes = np.array([len(w) for w in self.windows], np.int64)
-        self.budget = np.array([rule.budget(int(m)) for m in sizes], np.int64)
-        self.bound = np.maximum(sizes - rule.q + 1 - self.budget * rule.q, 1)
+        self.sizes = np.array([min(len(t), rule.window) for t in self.texts], np.int64)
+        self.budget = np.array([rule.budget(int(m)) for m in self.sizes], np.int64)
+        self.bound = np.maximum(self.sizes - rule.q + 1 - self.budget * rule.q, 1)
 
-    def hits(self, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, diagonal) of every q-gram that the document and a window share."""
+    def hits(self, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, place in it, diagonal) of every q-gram that the document and a text share."""
         found, n = [], len(plain)
         for start in range(0, n, 1 << 18):
             grams = qgrams(plain[start : start + (1 << 18) + self.rule.q - 1], self.rule.q)
@@ -116,60 +125,83 @@ class Block:
             if len(at):
                 offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 posting = np.repeat(first, times) + offset
-                found.append((self.owner[posting], np.repeat(at, times) + start - self.place[posting]))
+                place = self.place[posting].astype(np.int64)
+                found.append((self.owner[posting].astype(np.int64), place, np.repeat(at, times) + start - place))
         if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return (np.concatenate([f[0] for f in found]).astype(np.int64), np.concatenate([f[1] for f in found]))
+            return (np.empty(0, np.int64),) * 3
+        return tuple(np.concatenate(part) for part in zip(*found))
 
-    def regions(self, plain: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def regions(self, plain: np.ndarray) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) in folded positions, overlapping ones merged."""
-        window, diagonal = self.hits(plain)
-        if not len(window):
+        text, place, diagonal = self.hits(plain)
+        if not len(text):
             return []
-        step = self.budget[window] + 1
-        band = diagonal // step
+        band = diagonal // (self.budget[text] + 1)
         # band b holds the diagonals of steps b and b + 1
-        window = np.concatenate([window, window])
-        band = np.concatenate([band, band - 1])
-        diagonal = np.concatenate([diagonal, diagonal])
-        order = np.lexsort((diagonal, band, window))
-        window, band, diagonal = window[order], band[order], diagonal[order]
-        new = np.append(True, (window[1:] != window[:-1]) | (band[1:] != band[:-1]))
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(window)))
+        text, place, band = np.tile(text, 2), np.tile(place, 2), np.append(band, band - 1)
+        order = np.lexsort((place, band, text))
+        text, place, band = text[order], place[order], band[order]
+        # the hits i and i + bound - 1 of a band lie in a window
+        last = np.arange(len(text)) + self.bound[text] - 1
+        first = np.flatnonzero(last < len(text))
+        last = last[first]
+        near = (text[first] == text[last]) & (band[first] == band[last])
+        near &= place[last] - place[first] <= self.sizes[text[first]] - self.rule.q
+        first, last = first[near], last[near]
+        if not len(first):
+            return []
+        text, band, low, high = text[first], band[first], place[last], place[first]
+        low = low + self.rule.q - self.sizes[text]
+        new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (band[1:] != band[:-1])))
         found = []
-        for a, n in zip(first[count >= self.bound[window[first]]], count[count >= self.bound[window[first]]]):
-            w = int(window[a])
-            aligned = self.align(plain, w, int(band[a]), diagonal[a : a + n])
-            if aligned is not None:
-                found.append((int(self.items[w]), *aligned))
-        return merged(found)
-
-    def align(self, plain: np.ndarray, w: int, band: int, diagonals: np.ndarray) -> tuple[int, int, int] | None:
-        """(start, end, edits) of the best alignment in a band, if within the budget."""
-        text, k = self.windows[w], int(self.budget[w])
-        m = len(text)
-        on, times = np.unique(diagonals, return_counts=True)
-        best = int(on[times.argmax()])
-        if best >= 0 and times.max() == m - self.rule.q + 1 and (plain[best : best + m] == text).all():
-            return best, best + m, 0
+        for a, b in zip(new, np.append(new[1:], len(text))):
+            t = int(text[a])
+            change = np.zeros(len(self.texts[t]) - self.sizes[t] + 2, np.int64)
+            np.add.at(change, np.maximum(low[a:b], 0), 1)
+            np.add.at(change, np.minimum(high[a:b], len(change) - 2) + 1, -1)
+            starts = np.flatnonzero(np.cumsum(change)[:-1] > 0)
+            for k in range(0, len(starts), ALIGNED):
+                found.extend(self.align(plain, t, int(band[a]), starts[k : k + ALIGNED]))
+        return [(self.ids[item], start, end, edits) for item, start, end, edits in merged(found)]
+
+    def align(self, plain: np.ndarray, t: int, band: int, starts: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(item number, start, end, edits) of the best alignment in a band of each of a text's
+        windows that is within the budget."""
+        text, m, k = self.texts[t], int(self.sizes[t]), int(self.budget[t])
         low, width = band * (k + 1) - k, 2 * (k + 1) + 2 * k
-        padded = np.full(m + width, OUTSIDE)
-        a, b = max(low, 0), min(low + m + width, len(plain))
+        # the document around the band, from the first window on
+        begin = low + int(starts[0])
+        padded = np.full(int(starts[-1] - starts[0]) + m + width - 1, OUTSIDE)
+        a, b = max(begin, 0), min(begin + len(padded), len(plain))
         if a >= b:
-            return None
-        padded[a - low : b - low] = plain[a:b]
-        steps = np.arange(width)
-        row = np.zeros(width, np.int64)
+            return []
+        padded[a - begin : b - begin] = plain[a:b]
+        around = np.lib.stride_tricks.sliding_window_view(padded, width)
+        base = int(starts[0])
+        # windows that some diagonal holds without an edit
+        same = np.zeros((len(around) + 1, width), np.int32)
+        np.cumsum(around == text[base : base + len(around), None], axis=0, out=same[1:])
+        exact = same[starts - base + m] - same[starts - base] == m
+        found = [
+            (self.items[t], low + int(start) + int(shift), low + int(start) + int(shift) + m, 0)
+            for start, shift in zip(starts[exact.any(axis=1)], exact[exact.any(axis=1)].argmax(axis=1))
+        ]
+        starts = starts[~exact.any(axis=1)]
+        if not len(starts):
+            return found
+        steps = np.arange(width, dtype=np.int32)
+        rows = np.zeros((len(starts), width), np.int32)
         for j in range(m):
-            up = np.append(row[1:], m) + 1
-            row = np.minimum(row + (padded[j : j + width] != text[j]), up)
-            row = np.minimum.accumulate(row - steps) + steps
-        edits = int(row.min())
-        if edits > k:
-            return None
-        end = min(low + m + int(row.argmin()), len(plain))
-        return max(end - m, 0), end, edits
+            up = np.empty_like(rows)
+            up[:, :-1], up[:, -1] = rows[:, 1:] + 1, m + 1
+            other = around[starts - base + j] != text[starts + j][:, None]
+            rows = np.minimum(rows + other, up)
+            rows = np.minimum.accumulate(rows - steps, axis=1) + steps
+        edits, shift = rows.min(axis=1), rows.argmin(axis=1)
+        for i in np.flatnonzero(edits <= k):
+            end = min(low + int(starts[i]) + m + int(shift[i]), len(plain))
+            found.append((self.items[t], max(end - m, 0), end, int(edits[i])))
+        return found
 
 
 def merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -184,24 +216,25 @@ def merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return [tuple(r) for r in result]
 
 
-def item_windows(item: int, text: str | None, rule: MatchRule) -> list[tuple[int, np.ndarray]]:
+def item_windows(item: int | None, text: str | None, rule: MatchRule) -> list[tuple[int | None, np.ndarray]]:
+    """An item's folded text, in pieces that hold every window of it if it is very long."""
     plain = folded((text or "").strip())[0]
     inner = np.flatnonzero(plain != 32)
     plain = plain[inner[0] : inner[-1] + 1] if len(inner) else plain[:0]
     if len(plain) < rule.q:
         return []
-    last = max(len(plain) - rule.window, 0)
-    starts = sorted({*range(0, last, rule.stride), last})
-    return [(item, plain[s : s + rule.window]) for s in starts]
+    size = max(rule.block_grams, 2 * rule.window)
+    starts = range(0, max(len(plain) - rule.window, 0) + 1, size - rule.window + 1)
+    return [(item, plain[s : s + size]) for s in starts]
 
 
 def blocks(benchmark: DataFrame, key: str, text: str, rule: MatchRule) -> Iterator[Block]:
-    """The benchmark's windows, a bounded number of q-grams at a time."""
+    """The benchmark's items, a bounded number of q-grams at a time."""
     waiting, n = [], 0
-    for row in benchmark.select(key, text).where(F.col(key).isNotNull()).toLocalIterator():
-        for window in item_windows(row[0], row[1], rule):
-            waiting.append(window)
-            n += len(window[1])
+    for row in benchmark.select(key, text).toLocalIterator():
+        for piece in item_windows(row[0], row[1], rule):
+            waiting.append(piece)
+            n += len(piece[1])
             if n >= rule.block_grams:
                 yield Block(waiting, rule)
                 waiting, n = [], 0
@@ -256,6 +289,6 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, rule: MatchRule =
     found = with_regions(documents, benchmark, rule=rule)
     return found.withColumns({
         "n_regions": F.size("regions").cast("long"),
-        "item_ids": F.array_sort(F.array_distinct(F.col("regions.item_id"))),
+        "item_ids": F.array_sort(F.array_distinct(F.array_compact(F.col("regions.item_id")))),
         "contaminated": F.size("regions") > 0,
     })

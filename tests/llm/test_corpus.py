@@ -117,6 +117,28 @@ def test_passages_are_found_and_clean_texts_are_not(spark, edge):
     assert decontamination.decontaminate(edge, benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def test_quotations_of_100_characters_are_found_at_any_offset(spark):
+    rule, r = decontamination.MatchRule(), random.Random(4)
+    words = "".join(r.choice("abcdefghijklmnopqrstuvwxyz" + " " * 4) for _ in range(300)).split()
+    item = " ".join(words)[:233].strip()
+    block = decontamination.Block(decontamination.item_windows(1, item, rule), rule)
+    plain = lambda text: decontamination.folded(text)[0]
+    for start in range(len(item) - 99):
+        quoted = plain(PROSE + " " + item[start : start + 100].strip() + " " + PROSE)
+        assert [x[0] for x in block.regions(quoted)] == [1]
+        changed = list(item[start : start + 100].strip())
+        for i in r.sample(range(len(changed)), 4):
+            changed[i] = "0"
+        assert [x[0] for x in block.regions(plain(PROSE + " " + "".join(changed) + " " + PROSE))] == [1]
+        assert block.regions(plain(PROSE + item[start : start + 60] + PROSE)) == []
+    found = block.regions(plain(item[26:140]))
+    assert len(found) == 1 and found[0][1:3] == (0, len(item[26:140]))
+    documents = spark.createDataFrame([(1, PROSE + " " + item[26:140]), (2, PROSE)], "doc_id long, text string")
+    nameless = spark.createDataFrame([(None, item)], "item_id long, text string")
+    rows = by_id(decontamination.decontaminate(documents, nameless))
+    assert [(rows[k].contaminated, rows[k].n_regions, rows[k].item_ids) for k in (1, 2)] == [(True, 1, []), (False, 0, [])]
+
+
 def test_edit_distance_of_alignment():
     rule = decontamination.MatchRule()
     r = random.Random(9)
