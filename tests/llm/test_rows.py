@@ -1,6 +1,7 @@
 """Operators that work inside a row: rules, pages, languages, licences, counts, BPE."""
 
 import html
+import os
 import re
 import warnings
 from collections import Counter
@@ -185,6 +186,28 @@ def test_licenses(spark, edge):
     assert len(scanned) == len(TEXTS) and sum(r.is_license for r in scanned) == 5
 
 
+LICENSES = {
+    "Apache-2.0": ("Apache-2.0", 3), "Artistic": ("Artistic-1.0-Perl", 1), "BSD": ("BSD-3-Clause", 0), "CC0-1.0": ("CC0-1.0", 2),
+    "GFDL-1.2": ("GFDL-1.2", 2), "GFDL-1.3": ("GFDL-1.3", 2), "GPL-1": ("GPL-1.0", 2), "GPL-2": ("GPL-2.0", 2),
+    "GPL-3": ("GPL-3.0", 2), "LGPL-2": ("LGPL-2.0", 2), "LGPL-2.1": ("LGPL-2.1", 2), "LGPL-3": ("LGPL-3.0", 2),
+    "MPL-1.1": ("MPL-1.1", 2), "MPL-2.0": ("MPL-2.0", 1),
+}
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="has no licence texts")
+def test_licenses_without_title_and_appendix(spark):
+    rows = []
+    for file, (name, n_title) in LICENSES.items():
+        with open(f"/usr/share/common-licenses/{file}") as text:
+            lines = text.read().split("\n")
+        body = [i for i, line in enumerate(lines) if line.strip()][n_title]
+        ends = [i for i, line in enumerate(lines) if re.match(r"\s*END OF TERMS|ADDENDUM: |EXHIBIT A -|Exhibit A - ", line)]
+        for first in (0, body):
+            rows += [(name, "\n".join(lines[first:last])) for last in (None, *ends)]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert len(found) == len(rows) and all(r.license_id == r.name for r in found)
+
+
 def test_token_counts(spark, edge, documents):
     library = tokenizers.Tokenizer.from_file(BYTE_BPE)
     for frame in (edge, documents):
