@@ -14,11 +14,14 @@ from tempspan.llm.html_text import with_main_text
 from tempspan.llm.jaccard_join import jaccard_join
 from tempspan.llm.language_id import identify_languages
 from tempspan.llm.license_scan import oracle_sql as license_sql, scan_licenses
+from tempspan.llm.merkle_manifest import audited, oracle_sql as manifest_sql
 from tempspan.llm.quality_rules import apply_quality_rules, oracle_sql as quality_sql
 from tempspan.llm.sharding import shard_documents
+from tempspan.llm.source_divergence import oracle_sql as divergence_sql, source_divergence
 from tempspan.llm.tables import read_table
 from tempspan.llm.token_counts import with_token_counts
 from tempspan.llm.token_files import read_token_files, store_tokens
+from tempspan.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +84,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(read_table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(documents, read_table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted"
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_html_text": op2_html_text,
@@ -92,9 +110,14 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_sharding": op10_sharding,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_toxicity": op12_toxicity,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_sql(),
     "op4_license_scan": license_sql(),
+    "op11_merkle_manifest": manifest_sql(),
+    "op13_source_divergence": divergence_sql(),
 }
