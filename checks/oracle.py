@@ -10,6 +10,7 @@ from checks.queries import (
     EVENT_COLD, EVENT_HEAT, ORDER_COLD, ORDER_DEAR, ORDER_HEAT, ORDER_START_YEAR, ORDER_STATION,
     PROSE_FIELDS, PROSE_KEY, PROSE_MARK, QUALITY_STATION, TEXT_COLUMNS,
 )
+from checks.damaged import CHUNK, KINDS
 from checks.render import FILLED, HEADERLESS, REVERSED, SPARSE, STANDARD
 from tempspan.rules import WaveRule
 from tempspan.schema import OBSERVATION_FIELDS
@@ -285,8 +286,12 @@ ORACLE_SQL: dict[str, str] = {
     "rejected_files": f"""SELECT '{HEADERLESS}' AS folder, 'no header' AS reason,
         CAST(sum(octet_length(encode(value)) + 1
           + CASE WHEN tx < 10 THEN length('# remark on ' || event_id) + 1 + 4 ELSE 0 END) AS BIGINT)
-          AS bytes
-        FROM (SELECT {line_of(STANDARD)} AS value, tx, event_id FROM ({RENDERED}))""",
+          AS bytes, 0 AS inputs
+        FROM (SELECT {line_of(STANDARD)} AS value, tx, event_id FROM ({RENDERED}))
+        UNION ALL SELECT folder, reason, 0, count(*) FROM
+        (VALUES {", ".join(f"({i}, '{k}', '{r}')" for i, (k, r) in enumerate(KINDS.items()) if r)}) AS k(turn, folder, reason)
+        JOIN (SELECT DISTINCT event_id // {CHUNK} AS chunk FROM events) ON chunk % {len(KINDS)} = turn
+        GROUP BY folder, reason""",
     "input_inventory": """
         WITH lines AS (SELECT event_type AS name, octet_length(encode(concat_ws(',', event_id,
                 user_id, value))) + 1 AS bytes FROM events WHERE event_type IS NOT NULL),

@@ -8,14 +8,14 @@ with thresholds that suit these tables.
 from __future__ import annotations
 
 import dataclasses
-import io
-import tarfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.damaged import damaged_inputs, tar_of
 from checks.render import observation_files
 from tempspan.operators.daily import (
     daily_extremes, from_start_year, only_station, station_day_readings, station_days,
@@ -31,8 +31,8 @@ from tempspan.operators.views import (
 )
 from tempspan.plans import job
 from tempspan.rules import COLDWAVE, HEATWAVE
-from tempspan.runtime import fresh_folder, write_shared
-from tempspan.schema import OBSERVATION_FIELDS, STATION
+from tempspan.runtime import fresh_folder, qualified, write_shared
+from tempspan.schema import LINES, OBSERVATION_FIELDS, STATION
 from tempspan.sinks.files import (
     read_periods, read_results_csv, write_periods, write_results_csv,
 )
@@ -42,9 +42,10 @@ from tempspan.sources.headers import detect_headers, header_slices, without_head
 from tempspan.sources.inventory import first_files, list_files, summarize_files
 from tempspan.sources.lines import data_lines, explode_lines, scan_lines
 from tempspan.sources.observations import (
-    attach_layouts, cast_fields, derive_day, file_headers, read_observations,
-    require_keys, slice_fields, union_sources,
+    attach_layouts, cast_fields, derive_day, file_headers, observations_from_lines,
+    read_observations, require_keys, slice_fields, union_sources,
 )
+from tempspan.sources.streams import write_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,12 +177,19 @@ def q_directory_scan(spark, sf):
 
 
 def q_rejected_files(spark, sf):
-    """Inputs that are left out and why, with their bytes, by top folder."""
+    """Inputs that are left out and why, by folder: bytes of the files without a header (their
+    number is that of the writing tasks), and the number of damaged and empty ones. Each kind of damage has a folder with files of its own."""
     root = observation_files(spark, sf)
     folder = F.regexp_extract(F.split_part("source", F.lit(root), F.lit(-1)), "^/([^/]+)/", 1)
-    out = read_observations(spark, root).rejects.groupBy(folder.alias("folder"), "reason").agg(
-        F.sum("size").alias("bytes"))
-    return out.select("folder", "reason", "bytes")
+    headerless = read_observations(spark, root).rejects.groupBy(folder.alias("folder"), "reason").agg(
+        F.sum("size").alias("bytes"), F.lit(0).cast("long").alias("inputs"))
+    files, archives = damaged_inputs(spark, sf)
+    out = read_observations(spark, files, skip_damaged=True).rejects.unionByName(
+        observations_from_lines(read_archives(spark, archives, skip_damaged=True)).rejects)
+    folder = F.regexp_extract("source", "/([^/!]+)/chunk-", 1).alias("folder")
+    damaged = out.groupBy(folder, "reason").agg(
+        F.lit(0).cast("long").alias("bytes"), F.count(F.lit(1)).alias("inputs"))
+    return headerless.unionByName(damaged)
 
 
 def q_union_sources(spark, sf):
@@ -193,42 +201,29 @@ def q_union_sources(spark, sf):
 
 
 def q_archive_lines(spark, sf):
-    """Documents packed into archives in nested folders, read back by the archive reader.
-
-    Archives are written as files by the tasks, through Spark's file system.
-    """
+    """Documents packed into archives in nested folders, read back by the archive reader."""
     documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                rows = batch.slice(start, 200).to_pylist()
-                buffer = io.BytesIO()
-                with tarfile.open(fileobj=buffer, mode="w:gz", compresslevel=1) as archive:
-                    for row in rows:
-                        content = (row["text"] or "").encode()
-                        entry = tarfile.TarInfo(f"doc/{row['doc_id']}")
-                        entry.size = len(content)
-                        archive.addfile(entry, io.BytesIO(content))
-                yield pa.RecordBatch.from_pydict(
-                    {"source": [f"from-{rows[0]['doc_id']}.tgz"], "content": [buffer.getvalue()]})
-
     root = fresh_folder(spark, "archives")
-    write_archives(documents.mapInArrow(pack, "source string, content binary"), root)
+    n = write_archives(documents, qualified(spark, root)).count()
+    lines = read_archives(spark, root) if n else spark.createDataFrame([], LINES)
     doc_id = F.element_at(F.split("source", "/"), -1).cast("long").alias("doc_id")
-    return data_lines(read_archives(spark, root)).select(doc_id, F.col("value").alias("line"))
+    return data_lines(lines).select(doc_id, F.col("value").alias("line"))
+
 
+def write_archives(documents: DataFrame, root: str, per_archive: int = 200) -> DataFrame:
+    """The names of the archives that the tasks write: several a folder, named by partition and
+    number. A task that runs again writes the same files again."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for start in range(0, batch.num_rows, per_archive):
+                rows = batch.slice(start, per_archive).to_pylist()
+                name = f"{root}/part={number % 3}/from-{part}-{number}.tgz"
+                write_file(name, tar_of((f"doc/{r['doc_id']}", (r["text"] or "").encode()) for r in rows))
+                number += 1
+                yield pa.RecordBatch.from_pydict({"name": [name]})
 
-def write_archives(archives: DataFrame, root: str) -> None:
-    """Write each archive as a file of its own; there are few, a bounded number of documents
-    in each, so they pass the driver one at a time."""
-    spark = archives.sparkSession
-    hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
-    for number, row in enumerate(archives.toLocalIterator()):
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/part={number % 3}/{row['source']}")
-        out = path.getFileSystem(hadoop).create(path)
-        out.write(row["content"])
-        out.close()
+    return documents.mapInArrow(pack, "name string")
 
 
 def q_input_inventory(spark, sf):
@@ -327,12 +322,10 @@ def q_quality_report_of_days(spark, sf):
 # Sinks and jobs
 
 def q_record_count(spark, sf):
-    """Records observed while the daily values are computed, beside their number."""
-    seen = Observation("records")
-    records = events(spark, sf).observe(seen, F.count(F.lit(1)).alias("observations"))
-    days = station_days(records, ["user_id"], "day", "tx", "tn").count()
+    """Records as the batch job counts them: from the written station days, beside their number."""
+    days = write_shared(station_days(events(spark, sf), ["user_id"], "day", "tx", "tn"), "days")
     return spark.createDataFrame(
-        [(seen.get["observations"], days)], "observations long, station_days long")
+        [(job.loaded_records(days), days.count())], "observations long, station_days long")
 
 
 def q_daily_records(spark, sf):

@@ -40,22 +40,31 @@ def _local_folder() -> str:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tempspan/{uuid.uuid4().hex}/{name}"
+    path = f"{shared_folder(spark)}/tempspan/{uuid.uuid4().hex}/{name}"
+    for tables in _open_tables:
+        tables.append(path)
+    return path
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of a path, for tasks that open it themselves."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(hadoop).makeQualified(path).toUri().toString()
 
 
 def write_shared(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` once and continue from the written table."""
     spark = frame.sparkSession
     path = fresh_folder(spark, name)
-    for tables in _open_tables:
-        tables.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
 @contextlib.contextmanager
 def removed_at_end(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables that ``write_shared`` writes inside the block when it ends.
+    """Remove the tables that ``write_shared`` writes inside the block when it ends, and all other
+    folders of ``fresh_folder``.
 
     Frames that read them are of no use afterwards, so write their results inside.
     """

@@ -1,18 +1,16 @@
-"""Tar archives (plain or compressed by gzip, bzip2 or xz) as text lines.
+"""Tar archives (plain or compressed by gzip, bzip2, xz or zstd) as text lines.
 
 A compressed stream cannot be read from the middle, so one archive is the smallest piece of
-work: archives are spread over tasks, and each task streams its members out as blocks of
-text of bounded size, cut at line ends, which Spark then splits into lines. Spark reads a
-binary file of at most 2 GiB; larger collections belong in several archives, or unpacked in
-a directory, where ``scan_lines`` splits them freely. Members are never written to local
-disk, so their names cannot reach outside a folder.
+work: archives are spread over tasks, and each task reads its archive as a stream, in
+fixed memory however large it and its members are, and passes members on as blocks of
+text cut at line ends, which Spark then splits into lines. Members are never written to
+local disk, so their names cannot reach outside a folder. Archives are known by their names, their
+compression by their first bytes; other files below the path are listed among the rejects.
 """
 
 from __future__ import annotations
 
-import lzma
 import tarfile
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,13 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.runtime import write_shared
+from tempspan.sources import streams
 from tempspan.sources.lines import without_return
+from tempspan.sources.streams import files_to_stream
 
-ARCHIVE_PATTERN = "*.{tar,tar.gz,tgz,tar.bz2,tbz2,tbz,tar.xz,txz}"
-BLOCK_BYTES = 4 * 1024 * 1024
+ARCHIVE_NAME = r"(?i)\.(tar(\.[a-z0-9]+)?|tgz|taz|tbz2?|txz|tzst)$"
+BLOCK_BYTES = streams.BLOCK_BYTES
 BLOCKS = "source string, size long, offset long, block string"
-#: The offset of the row that stands for damage.
+#: Offsets of the rows that stand for damage and for files that are no archives.
 DAMAGED_AT = -1
+NO_ARCHIVE_AT = -2
 
 
 def read_archives(spark: SparkSession, path: str | list[str],
@@ -35,60 +36,58 @@ def read_archives(spark: SparkSession, path: str | list[str],
 
     ``source`` is ``archive!member``. Pass the result to ``observations_from_lines``.
     """
-    archives = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", ARCHIVE_PATTERN)
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("source"), "content")
-    )
-    return write_shared(unpack(archives, skip_damaged), "archive_lines")
+    files = files_to_stream(spark, path)
+    named = F.col("source").rlike(ARCHIVE_NAME)
+    others = files.filter(~named).select(
+        "source", "size", F.lit(NO_ARCHIVE_AT).cast("long").alias("offset"),
+        F.lit(None).cast("string").alias("value"))
+    lines = unpack(files.filter(named), skip_damaged).union(others)
+    return write_shared(lines, "archive_lines")
 
 
 def unpack(archives: DataFrame, skip_damaged: bool = False) -> DataFrame:
-    """``(source, content)`` archives to lines; lines of one block share its offset.
+    """``(source, size, content)`` archives to lines; lines of one block share its offset.
+    Where ``content`` is NULL the task reads the file itself.
 
     An archive that cannot be opened or breaks off fails the job. With ``skip_damaged`` its
     complete blocks are kept and one row with a NULL value and a negative offset names it;
-    an empty member gives one row with a NULL value. Both show up among the rejects.
+    an empty member gives one row with a NULL value. Both show up among the rejects. A
+    failure of the storage always fails the job.
     """
+    block_bytes = BLOCK_BYTES
+
     # Nested, so that Spark ships the code to executors that lack this package.
-    def blocks(source: str, content: pa.Buffer) -> Iterator[tuple]:
+    def blocks(source: str, size: int, content: pa.Buffer | None) -> Iterator[tuple]:
+        stream = streams.Pieces(streams.archive_pieces(streams.open_source(source, content)))
         try:
-            with tarfile.open(fileobj=pa.BufferReader(content), mode="r|*") as archive:
+            with tarfile.open(fileobj=stream, mode="r|") as archive:
                 for member in archive:
                     if not member.isfile():
                         continue
                     name = f"{source}!{member.name}"
                     if member.size == 0:
                         yield name, 0, 0, None
-                    file, offset, rest = archive.extractfile(member), 0, []
-                    while data := file.read(BLOCK_BYTES):
-                        end = data.rfind(b"\n")
-                        if end < 0:
-                            rest.append(data)
-                            continue
-                        block = b"".join([*rest, data[:end]])
-                        yield name, member.size, offset, block.decode("utf-8", "replace")
-                        offset += len(block) + 1
-                        rest = [data[end + 1 :]]
-                    if block := b"".join(rest):
+                    file = archive.extractfile(member)
+                    pieces = iter(lambda: file.read(min(streams.STEP, block_bytes)), b"")
+                    for offset, block in streams.text_blocks(pieces, block_bytes):
                         yield name, member.size, offset, block.decode("utf-8", "replace")
-        except (tarfile.TarError, EOFError, OSError, zlib.error, lzma.LZMAError) as error:
+            while stream.read(streams.STEP):
+                pass  # to the checksums at the end
+        except (tarfile.TarError, EOFError, streams.Damage) as error:
             if not skip_damaged:
                 raise ValueError(f"damaged archive {source}: {error}") from error
-            yield source, content.size, DAMAGED_AT, None
+            yield source, size, DAMAGED_AT, None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for source, content in zip(batch.column("source"), batch.column("content")):
-                for row in blocks(source.as_py(), content.as_buffer()):
+            for source, size, content in zip(*(batch.column(c) for c in ("source", "size", "content"))):
+                for row in blocks(source.as_py(), size.as_py(), content.as_buffer()):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
     names = ["source", "size", "offset", "block"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
-    found = archives.select("source", "content").mapInArrow(read, BLOCKS)
+    found = archives.select("source", "size", "content").mapInArrow(read, BLOCKS)
     return found.select(
         "source", "size", "offset", F.explode_outer(F.split("block", "\n")).alias("value"),
     ).withColumn("value", without_return(F.col("value")))

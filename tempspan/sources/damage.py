@@ -1,16 +1,14 @@
 """Compressed text files that cannot be read to their end.
 
 Spark can pass over damage, but then it says neither which file it cut short nor that the
-storage failed for another reason. So files are tried first: every compressed file is
-decompressed once in a task, and the damaged ones are named, so that a scan can leave them
-out as a whole.
+storage failed for another reason; of some codecs it takes a cut file for a whole one. So
+files are tried first: every compressed file is decompressed once in a task, in fixed
+memory, and the damaged ones are named. The others are then read by the same streams, so a
+trial and the reading agree, and no list of names enters a plan or the driver.
 """
 
 from __future__ import annotations
 
-import bz2
-import lzma
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,33 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempspan.runtime import write_shared
+from tempspan.sources import streams
+from tempspan.sources.lines import scan_lines, without_return
+from tempspan.sources.streams import COMPRESSED, files_to_stream
 
-COMPRESSED = r"\.(gz|gzip|bz2|xz)$"
-STEP = 1 << 20
+BLOCKS = "source string, size long, offset long, block string"
 
 
-def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(source, size)`` of the compressed files below ``path`` whose content is damaged.
+def compressed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return files_to_stream(spark, path).filter(F.col("source").rlike(COMPRESSED))
 
-    Spark reads a binary file of at most 2 GiB; a larger compressed file fails here.
-    """
-    def whole(name: str, content: pa.Buffer) -> bool:
-        make = (
-            (lambda: zlib.decompressobj(31)) if name.endswith(("gz", "gzip"))
-            else bz2.BZ2Decompressor if name.endswith("bz2") else lzma.LZMADecompressor
-        )
-        data, at = memoryview(content), 0
+
+def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(source, size)`` of the compressed files below ``path`` whose content is damaged."""
+    def whole(source: str, content: pa.Buffer | None) -> bool:
         try:
-            while at < len(data):  # streams may follow one another
-                stream = make()
-                while at < len(data) and not stream.eof:
-                    piece = data[at : at + STEP]
-                    stream.decompress(piece)
-                    at += len(piece)
-                if not stream.eof:
-                    return False
-                at -= len(stream.unused_data)
-        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            for _ in streams.text_pieces(source, streams.open_source(source, content)):
+                pass
+        except streams.Damage:
             return False
         return True
 
@@ -54,10 +43,29 @@ def damaged_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
             keep = pa.array([not whole(s.as_py(), c.as_buffer()) for s, c in rows], pa.bool_())
             yield batch.select(["source", "size"]).filter(keep)
 
-    content = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .filter(F.col("_metadata.file_path").rlike(COMPRESSED))
-        .select(F.col("_metadata.file_path").alias("source"),
-                F.col("_metadata.file_size").alias("size"), "content")
-    )
-    return write_shared(content.mapInArrow(tried, "source string, size long"), "damaged_files")
+    found = compressed_files(spark, path).mapInArrow(tried, "source string, size long")
+    return write_shared(found, "damaged_files")
+
+
+def undamaged_lines(spark: SparkSession, path: str | list[str], damaged: DataFrame) -> DataFrame:
+    """All lines below ``path``, as of ``scan_lines``, but for those of the files in ``damaged``.
+
+    Compressed files meet the damaged ones by name, one row a file, before they are opened;
+    the others are scanned by Spark, which leaves compressed files out by their suffix.
+    """
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, size, content in zip(*(batch.column(c) for c in ("source", "size", "content"))):
+                pieces = streams.text_pieces(source.as_py(), streams.open_source(source.as_py(), content.as_buffer()))
+                for offset, block in streams.text_blocks(pieces):
+                    # No line lies beyond the file's size, as in a scan by Spark.
+                    row = (source.as_py(), size.as_py(), min(offset, size.as_py()), block.decode("utf-8", "replace"))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+
+    names = ["source", "size", "offset", "block"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    files = compressed_files(spark, path).join(damaged.select("source"), "source", "left_anti")
+    unpacked = files.select("source", "size", "content").mapInArrow(blocks, BLOCKS).select(
+        "source", "size", "offset", F.explode(F.split("block", "\n")).alias("value"))
+    plain = scan_lines(spark, path).filter(~F.col("source").rlike(COMPRESSED))
+    return plain.unionByName(unpacked.withColumn("value", without_return(F.col("value"))))

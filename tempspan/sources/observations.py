@@ -9,8 +9,10 @@ the shared folder in between, so exact sizes decide how the lines get their slic
 2. With more files than that, those that differ from the most common header are
    broadcast, when they stay within the limit, and all others get its slices.
 3. Beyond that, the files are split into ranges of their paths whose headers fit the limit
-   each. Every range has a scan and a broadcast of its own; Spark opens only the files of
-   the range, so no file is read twice and the lines do not move.
+   each. One range after another is read, with a broadcast of its own, and its lines are
+   written to the shared folder beside their slices, which are the same for all lines of a file and take
+   next to no room there. So no more than one broadcast is alive at a time, Spark opens only
+   the files of the range, and the lines do not move.
 4. Where not even one range fits, which takes a limit near the size of a single header,
    lines and headers meet in a shuffled join by file *and* chunk of the file. A chunk holds
    at most ``CHUNK_BYTES`` of text, so no key grows with the size of a file.
@@ -21,7 +23,6 @@ for missing and reordered fields, and ``to_double`` for NaN.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from tempspan.functions.columns import blank_to_null, to_day, to_double
 from tempspan.runtime import write_shared
 from tempspan.schema import DAY, OBSERVATION_FIELDS, REQUIRED_FIELDS, TIME_FIELD
-from tempspan.sources.damage import damaged_files
+from tempspan.sources.archives import DAMAGED_AT, NO_ARCHIVE_AT
+from tempspan.sources.damage import damaged_files, undamaged_lines
 from tempspan.sources.headers import detect_headers, header_slices, without_header
 from tempspan.sources.inventory import list_files
 from tempspan.sources.lines import data_lines, scan_lines
@@ -63,10 +65,8 @@ def read_observations(spark: SparkSession, path: str | list[str], clip_last: boo
         files = list_files(spark, path)
         return _ingest(scan_lines(spark, path), files, clip_last, broadcast_limit)
     damaged = damaged_files(spark, path)
-    left_out = [row["source"] for row in damaged.select("source").toLocalIterator()]
-    # Spark drops files by such a filter when it lists them and never opens them.
-    lines = scan_lines(spark, path).filter(~F.col("source").isin(left_out))
-    files = list_files(spark, path).filter(~F.col("source").isin(left_out))
+    lines = undamaged_lines(spark, path, damaged)
+    files = list_files(spark, path).join(damaged.select("source"), "source", "left_anti")
     found = _ingest(lines, files, clip_last, broadcast_limit)
     named = damaged.select("source", "size", F.lit("damaged").alias("reason"))
     return Ingested(found.observations, found.rejects.unionByName(named))
@@ -93,7 +93,8 @@ def _ingest(lines: DataFrame, sources: DataFrame, clip_last: bool,
     observations = derive_day(require_keys(cast_fields(slice_fields(sliced))))
     reason = F.when(F.col("size") == 0, "empty").otherwise("no header")
     if "offset" in sources.columns:
-        reason = F.when(F.col("offset") < 0, "damaged").otherwise(reason)
+        reason = (F.when(F.col("offset") == DAMAGED_AT, "damaged")
+                  .when(F.col("offset") == NO_ARCHIVE_AT, "no archive").otherwise(reason))
     rejects = without_header(sources, headers).select("source", "size", reason.alias("reason"))
     return Ingested(observations, rejects)
 
@@ -136,8 +137,16 @@ def attach_layouts(lines: DataFrame, headers: DataFrame, sources: DataFrame,
     ranges = source_ranges(headers, bytes_of_headers, broadcast_limit)
     if not ranges:
         return attach_by_chunk(measured, slices(headers))
-    groups = [(measured.filter(r), slices(headers.filter(r))) for r in ranges]
-    return reduce(DataFrame.unionByName, [attach_by_broadcast(*group) for group in groups])
+    return land_ranges([(measured.filter(r), slices(headers.filter(r))) for r in ranges])
+
+
+def land_ranges(groups: Sequence[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Lines with their slices, one (lines, slices) group written after the other.
+
+    The slices of a group are built once and forgotten when its lines are written.
+    """
+    landed = [write_shared(attach_by_broadcast(*group), "lines_of_range") for group in groups]
+    return reduce(DataFrame.unionByName, landed)
 
 
 def source_ranges(headers: DataFrame, bytes_of_headers: int, limit: int) -> list[Column]:
@@ -227,8 +236,9 @@ def slice_fields(lines: DataFrame, fields: Sequence[str] = tuple(OBSERVATION_FIE
     cells = lines.selectExpr(*[cut.format(line=line, field=field) for field in fields])
     # Catalyst moves filters on the cells below this projection and into the header join,
     # with a copy of the cutting expressions for each. It does not move them past metrics,
-    # while unused cells are still pruned. So every requested field is cut once.
-    return cells.observe(f"cut_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("lines"))
+    # while unused cells are still pruned. So every requested field is cut once. The name
+    # follows from the plan: equal scans stay equal, and different ones in a query differ.
+    return cells.observe(f"cut_{cells.semanticHash():x}", F.count(F.lit(1)).alias("lines"))
 
 
 def cast_fields(fields: DataFrame,
