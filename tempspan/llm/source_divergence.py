@@ -48,9 +48,9 @@ MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
 #: Bytes of text that a task sorts at once.
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 4 << 20
 #: Pairs of sources that a task compares at once.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 17
 #: Counts below this stay in 64 bits when multiplied by SCALE.
 PLAIN_COUNTS = 9_000_000_000
 TERMS = "lid long, gid long, w1 long, w2 long, term string, n long, docs long"
