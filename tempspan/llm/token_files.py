@@ -55,12 +55,15 @@ MARK_AFTER_MARK = re.compile(r"(?:[^\w\s]|[_\u0130\x1c-\x1f])[.,] ")
 def words_of(text: str) -> list[str]:
     """A text cut where the library's pattern always cuts: at blanks, and before a comma or
     full stop that ends a word. ASCII capitals, which its normaliser lowers, are lowered, if
-    no combining mark could join the small letter and there may be no special string."""
+    no combining mark could join the small letter and there may be no special string. A text
+    that its normaliser composes otherwise is cut at blanks alone: what is a letter here may end
+    in a mark there, and a mark and the comma after it are one pre-token."""
     plain = text.encode("utf-8").lower().decode("utf-8")
-    if "<|" in text or not unicodedata.is_normalized("NFC", plain):
+    normal = unicodedata.is_normalized("NFC", plain)
+    if "<|" in text or not normal:
         plain = text
     plain = plain.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-    if not MARK_AFTER_MARK.search(plain):
+    if normal and not MARK_AFTER_MARK.search(plain):
         plain = plain.replace(", ", " , ").replace(". ", " . ")
     return plain.split(" ")
 
