@@ -4,8 +4,8 @@ Texts are folded to lower-case letters and single spaces and cut into character
 which are hashed into a fixed number of buckets. Document frequencies are counted over all
 training documents; a feature is the n-gram's share of the text times its inverse document
 frequency. The model is trained by follow-the-regularised-leader with L1 and L2 penalties
-on a sample of training documents, at most ``Settings.sample_per_language`` expected of each
-language, and one fifth of the sample sets the temperature that calibrates its scores.
+on a sample of training documents, at most ``Settings.sample_per_language`` of each language
+with the least hashes of id and text, equal rows once, and one fifth of the sample sets the temperature that calibrates its scores.
 
 Training: one pass of aggregation by bucket, pre-aggregated in each task to at most one row
 per bucket, and the sample's features, whose size is bounded, on the driver. Prediction: one
@@ -25,10 +25,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempspan.llm.tables import given_columns, worker_memory
+from tempspan.runtime import write_shared
 
 UNDETERMINED = "und"
 #: N-grams that are hashed at once; odd multipliers of the hash.
@@ -134,15 +136,23 @@ def document_frequencies(documents: DataFrame, text: str, settings: Settings) ->
 
 
 def _sample(documents: DataFrame, text: str, language: str, key: str, settings: Settings) -> DataFrame:
-    """Rows of each language by the hash of their key, as many as the bound lets expect."""
-    counts = documents.groupBy(language).count().collect()
-    steps = 1_000_000
-    below = {r[language]: int(steps * min(1.0, settings.sample_per_language / r["count"])) for r in counts}
+    """Rows (language, text): of each language those with the least hashes of id and text, at
+    most as many as the bound says; rows equal in all three are one."""
+    most, steps = settings.sample_per_language, 1 << 40
+    # Where all ids and texts are alike, hashes alone say how many there are.
+    hashed = documents.withColumn("_h", F.xxhash64(F.col(key).cast("string"), F.coalesce(text, F.lit(""))))
+    counts = hashed.groupBy(language).agg(F.approx_count_distinct("_h").alias("n")).collect()
+    # About twice the wanted rows pass a first cut by hash, so that few are ranked.
+    below = {r[language]: int(steps * min(1.0, 2 * most / max(r["n"], 1))) for r in counts}
     if not below:
         return documents.select(language, text).limit(0)
     limit = F.create_map(*(F.lit(x) for pair in below.items() for x in pair))[F.col(language)]
-    chosen = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(steps)) < limit
-    return documents.where(chosen).select(language, text)
+    near = hashed.where(F.pmod("_h", F.lit(steps)) < limit).select(language, "_h", F.pmod("_h", F.lit(steps)).alias("_at"))
+    ranked = W.partitionBy(language).orderBy("_at", "_h")
+    least = near.distinct().withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= most)
+    chosen = write_shared(least.select(language, "_h"), "sampled")  # at most ``most`` rows a language
+    met = hashed.join(F.broadcast(chosen), [language, "_h"])
+    return write_shared(met.groupBy(language, "_h").agg(F.first(text).alias(text)).drop("_h"), "sample")
 
 
 def _features(sample: DataFrame, text: str, language: str, settings: Settings) -> list[tuple]:
