@@ -1,14 +1,20 @@
 """Sharding by balanced label propagation: copies stay together, shards stay even.
 
 Documents with equal texts are linked. Every document starts in the shard of its number
-modulo the number of shards, so sizes are even. In each round linked documents move towards
-the shard that holds most of their neighbours, into the room that its quota leaves or in
-exchange for as many others, until no move is left; documents without links then fill the
-shards to their quotas, which are at most one document apart. A group that fits into no single shard ends in as few as it can.
+modulo the number of shards, so sizes are even. In each round the linked documents that have
+no place yet move towards the shard that holds most of their neighbours, of those whose quota
+still has room for all of them; a shard takes whom it can in the order of a hash, and who
+finds no room turns to the next shard in the next round. Documents that fit into no shard together fill
+the one with most room and go on with the rest. Large groups move before small ones,
+which find room later too. Rounds end when all linked documents have a place; documents without links
+then fill the shards to their quotas, which are at most one document apart.
+
+Each round and each shard that is asked gives at least one group its place or is full
+afterwards, so there is no limit on rounds, and none is needed.
 
 Links of a group of copies are those of a clique, so a round needs no more of a group than
-its number of documents in each shard: the rounds join and aggregate tables of at most as
-many rows for a group as there are shards, however large it is. Which documents of a group
+its number of documents in each shard: the rounds join and aggregate tables of one row for a
+group, however large it is. Which documents of a group
 go where is settled once at the end by numbering them inside (group, file part), so that no
 window ever holds a whole hot group. All steps are DataFrame functions; each round's table
 is written to the shared folder.
@@ -21,6 +27,7 @@ only the named columns are read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,7 +35,6 @@ from pyspark.sql import functions as F
 
 from tempspan.runtime import write_shared
 
-MAX_ROUNDS = 40
 BINS = 1024
 UNLINKED = b""
 
@@ -61,84 +67,67 @@ def _offsets(counts: DataFrame, within: list[str]) -> DataFrame:
     return counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
 
 
-def _wanted(placed: DataFrame, room: list[int] | None, n_round: int) -> DataFrame:
-    """Rows (twin, shard, target, n): documents that would join more of their neighbours.
+def _asked(waiting: DataFrame, room: list[int], n_round: int) -> DataFrame:
+    """Add ``target``, the shard that a group turns to, and ``bin``, its place in the queue.
 
-    The shards of a group are ranked by how many of it they hold, ties by a hash. Documents
-    want the highest shard that ranks above their own and has room; without ``room`` the
-    rounds take turns over the shards above.
+    ``held`` lists the shards of its documents, that of most of them first. A group takes the
+    first of them that has room for all it has left, else any other such shard, else the
+    shard with most room.
     """
-    groups = placed.groupBy("twin").agg(
-        F.sort_array(
-            F.collect_list(F.struct("n", F.xxhash64("twin", "shard").alias("tie"), "shard")), asc=False
-        ).alias("ranked")
-    )
-    entries = groups.where(F.size("ranked") > 1).select(
-        "twin", "ranked", F.posexplode("ranked").alias("rank", "own")
-    )
-    above = F.slice("ranked", F.lit(1), F.col("rank"))
-    if room is None:
-        target = F.get(above, F.lit(n_round // 2) % F.col("rank")).shard
-    else:
-        rooms = F.array(*(F.lit(r) for r in room))
-        target = F.get(F.filter(above, lambda x: F.get(rooms, x.shard) > 0), F.lit(0)).shard
-    wanted = entries.where("rank > 0").select(
-        "twin", F.col("own.shard").alias("shard"), target.alias("target"), F.col("own.n").alias("n"),
-        F.pmod(F.xxhash64("twin", F.lit(n_round)), F.lit(BINS)).alias("part"),
+    rooms = F.array(*(F.lit(r) for r in room))
+    roomy = F.filter("held", lambda x: F.get(rooms, x.shard) >= F.col("left"))
+    others = F.filter(F.sequence(F.lit(0), F.lit(len(room) - 1)), lambda s: F.get(rooms, s) >= F.col("left"))
+    turn = F.pmod(F.xxhash64("twin", F.lit(n_round)), F.greatest(F.size(others), F.lit(1))).cast("int")
+    largest = max(range(len(room)), key=room.__getitem__)
+    return waiting.withColumns({
+        "target": F.coalesce(F.get(roomy, F.lit(0)).shard, F.get(others, turn), F.lit(largest)),
+        "bin": F.pmod(F.xxhash64("twin", F.lit(n_round), F.lit("bin")), F.lit(BINS)),
+    })
+
+
+def _answered(asked: DataFrame, room: list[int]) -> DataFrame:
+    """Add ``taken``: how many of its documents the target takes. Queues are running sums over
+    hashed bins of groups, so that no window holds all groups of a shard."""
+    bins = _offsets(
+        asked.groupBy("target", F.col("bin").alias("part")).agg(F.sum("left").alias("n")), ["target"]
+    ).select("target", F.col("part").alias("bin"), "first")
+    before = W.partitionBy("target", "bin").orderBy("twin").rowsBetween(W.unboundedPreceding, -1)
+    queued = asked.join(bins, ["target", "bin"])
+    start = F.col("first") + F.coalesce(F.sum("left").over(before), F.lit(0))
+    here = F.get(F.array(*(F.lit(r) for r in room)), F.col("target"))
+    part = F.least(F.col("left"), F.greatest(here - start, F.lit(0)))
+    return queued.withColumn(
+        "taken", F.when((part == F.col("left")) | (here < F.col("left")), part).otherwise(0)
+    ).drop("first", "bin")
+
+
+def propagate(placed: DataFrame, quotas: list[int]) -> DataFrame:
+    """Rounds of moves over (twin, shard, n) until all have a place; shards keep their quotas."""
+    groups = write_shared(
+        placed.groupBy("twin").agg(
+            F.sum("n").alias("left"),
+            F.sort_array(
+                F.collect_list(F.struct("n", F.xxhash64("twin", "shard").alias("tie"), "shard")), asc=False
+            ).alias("held"),
+        ), "linked_groups",
     )
-    return wanted.where("target IS NOT NULL")
-
-
-def _move(placed: DataFrame, room: list[int], n_round: int) -> DataFrame:
-    """Moves (twin, shard, target, n) of one round.
-
-    Even rounds fill the room that shards have left. Odd rounds exchange: between any two
-    shards as many documents go as come, so their sizes stay. Who goes first is settled by
-    running sums over hashed bins of groups.
-    """
-    n_shards = len(room)
-    if n_round % 2 == 0:
-        wanted, lane, allowed = _wanted(placed, room, n_round), F.col("target"), room
-    else:
-        wanted = write_shared(_wanted(placed, None, n_round), "wanted")
-        flow = {
-            (r.shard, r.target): r.n
-            for r in wanted.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
-        }
-        allowed = [
-            min(flow.get((s, t), 0), flow.get((t, s), 0)) for s in range(n_shards) for t in range(n_shards)
-        ]
-        lane = F.col("shard") * n_shards + F.col("target")
-    wanted = wanted.withColumn("lane", lane)
-    bins = _offsets(wanted.groupBy("lane", "part").agg(F.sum("n").alias("n")), ["lane"])
-    before = W.partitionBy("lane", "part").orderBy("twin", "shard").rowsBetween(W.unboundedPreceding, -1)
-    ordered = wanted.join(bins.select("lane", "part", "first"), ["lane", "part"])
-    start = F.col("first") + F.coalesce(F.sum("n").over(before), F.lit(0))
-    limit = F.get(F.array(*(F.lit(x) for x in allowed)), F.col("lane"))
-    taken = F.least(F.col("n"), F.greatest(limit - start, F.lit(0)))
-    return ordered.withColumn("n", taken).where("n > 0").select("twin", "shard", "target", "n")
-
-
-def propagate(placed: DataFrame, quotas: list[int], max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Rounds of moves over (twin, shard, n) until none is left; shards keep their quotas."""
-    idle = 0
-    for n_round in range(max_rounds):
-        held = {r.shard: r.n for r in placed.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        room = [max(0, q - held.get(s, 0)) for s, q in enumerate(quotas)]
-        moves = write_shared(_move(placed, room, n_round), "moves")
-        if moves.isEmpty():
-            idle += 1
-            if idle == 2:
-                break
-            continue
-        idle = 0
-        changes = moves.select("twin", "shard", (-F.col("n")).alias("n")).union(
-            moves.select("twin", F.col("target").alias("shard"), "n")
-        )
-        placed = placed.select("twin", "shard", "n").union(changes)
-        placed = placed.groupBy("twin", "shard").agg(F.sum("n").alias("n")).where("n > 0")
-        placed = write_shared(placed, "placed")
-    return placed
+    room, settled, n_round = list(quotas), [], 0
+    sizes = [None, max(quotas, default=0) // 2, max(quotas, default=0) // 16, 0]
+    for high, low in zip(sizes, sizes[1:]):
+        waiting = groups.where(F.col("left") > low)
+        waiting = waiting if high is None else waiting.where(F.col("left") <= high)
+        while not waiting.isEmpty():
+            answered = write_shared(_answered(_asked(waiting, room, n_round), room), "answered")
+            taken = answered.where("taken > 0").select("twin", F.col("target").alias("shard"), F.col("taken").alias("n"))
+            for row in taken.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+                room[row.shard] -= row.n
+            settled.append(taken)
+            waiting = answered.where("left > taken").select("twin", (F.col("left") - F.col("taken")).alias("left"), "held")
+            n_round += 1
+    if not settled:
+        return placed
+    moved = reduce(DataFrame.union, settled).groupBy("twin", "shard").agg(F.sum("n").alias("n"))
+    return write_shared(moved, "placed")
 
 
 def _shard_of(number: Column, ranges: list[Part]) -> Column:
