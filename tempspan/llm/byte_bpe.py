@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tempspan.llm.tables import given_columns, worker_memory
-from tempspan.llm.token_counts import merge_count, pretoken_pattern
+from tempspan.llm.token_counts import cut_words, merge_count, pretoken_pattern
 
 RECURSIVE_BYTES = 128
 #: Words and pieces that a Python worker remembers, and the longest that it does.
@@ -108,7 +108,7 @@ class Codec:
         self.opens = np.array([t[:1] == b" " for t in self.bytes_of])
         self.ids_by_word: dict[str, bytes] = {}
         self.bytes_by_piece: dict[bytes, bytes] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self._table(
             "merge_table",
             pair=pa.array(list(self.pairs), pa.int64()),
@@ -197,7 +197,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.pretoken.findall(t) for t in texts]
+        cut = [cut_words(self.pretoken, t) for t in texts]
         known = self.ids_by_word
         new = {w for words in cut for w in words if w not in known}
         if new and len(known) + len(new) > REMEMBERED:

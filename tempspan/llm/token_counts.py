@@ -16,6 +16,7 @@ an empty table gives no rows; other columns stay, clashing ones are replaced.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 from collections.abc import Iterator
@@ -99,6 +100,29 @@ def pretoken_pattern(pattern: str) -> regex.Pattern:
     )
 
 
+@functools.cache
+def unknown_letters() -> regex.Pattern:
+    """Letters and digits that ``regex`` knows and the tokenizer libraries do not yet."""
+    from tokenizers import Regex, pre_tokenizers
+
+    known = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))))
+    rest = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str("".join(known))
+    letters = "".join(part for part, _ in rest)
+    return regex.compile(f"[{letters}]" if letters else r"(?!)")
+
+
+#: A character that belongs to no class in any version.
+NO_CLASS = "\u0378"
+
+
+def cut_words(pretoken: regex.Pattern, text: str) -> list[str]:
+    """The pattern's matches in a text, by the classes of the libraries' Unicode version."""
+    if text.isascii() or not (unknown := unknown_letters()).search(text):
+        return pretoken.findall(text)
+    masked = unknown.sub(NO_CLASS, text)
+    return [text[m.start() : m.end()] for m in pretoken.finditer(masked)]
+
+
 def load_rule(path: str, pattern: str) -> CountRule:
     """Read a byte-level tokenizer file."""
     with open(path, encoding="utf-8") as file:
@@ -146,10 +170,10 @@ def count_text(text: str | None, path: str, pattern: str) -> int:
     counts = _counts(path, pattern)
     rule = counts.rule
     if rule.special is None or not rule.special.search(text):
-        return sum(map(counts.__getitem__, rule.pretoken.findall(text)))
+        return sum(map(counts.__getitem__, cut_words(rule.pretoken, text)))
     parts = rule.special.split(text)
     return len(parts) - 1 + sum(
-        sum(map(counts.__getitem__, rule.pretoken.findall(part))) for part in parts if part
+        sum(map(counts.__getitem__, cut_words(rule.pretoken, part))) for part in parts if part
     )
 
 
