@@ -10,7 +10,8 @@ own row, so hot sources and groups of copies make no difference.
 
 Defined results: a null text counts as an empty one; an empty text has no words and fails
 the length rule; repeated rows give repeated results; an empty table gives no rows; columns
-of the input that clash with the result's names are replaced, other columns stay.
+of the input that clash with the result's names are replaced, other columns stay; equal lines
+get equal verdicts; very long texts and lines are judged whole, in time linear in their length.
 """
 
 from __future__ import annotations
@@ -28,11 +29,15 @@ from pyspark.sql import functions as F
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\f\r"
-TERMINAL = ".!?…。！？"
+#: Sentence ends, of other scripts too.
+TERMINAL = ".!?…。！？｡।॥۔؟։።፧။។៕།"
+#: Letters of scripts that set no mark at the end of a sentence (Thai, Lao); a line that is half of
+#: them needs none.
+UNMARKED = "\u0e01-\u0e4e\u0e81-\u0ede"
 CLOSING = "\"'”’»)]"
 SEPARATORS = "|»•·›→"
 MARKUP = "#*$%&<>{}=~^"
-#: Phrases of page furniture; a short line that holds one of them fails.
+#: Phrases of page furniture, as whole words; a short line that holds one of them fails.
 BOILERPLATE = (
     "all rights reserved",
     "privacy policy",
@@ -57,6 +62,7 @@ BOILERPLATE = (
     "skip to content",
     "powered by",
 )
+PHRASE = f"(^|[^\\p{{L}}\\p{{N}}_])({'|'.join(BOILERPLATE)})($|[^\\p{{L}}\\p{{N}}_])"
 
 
 @dataclass(frozen=True)
@@ -102,10 +108,13 @@ def line_passes(line: Column, rules: LineRules) -> Column:
     )
     furniture = F.exists(
         F.array(F.lower(line)),
-        lambda low: functools.reduce(operator.or_, (low.contains(p) for p in BOILERPLATE)),
+        lambda low: functools.reduce(operator.or_, (low.contains(p) for p in BOILERPLATE)) & low.rlike(PHRASE),
+    )
+    unmarked = line.rlike(f"[{UNMARKED}]") & (
+        2 * F.length(F.regexp_replace(line, f"[^{UNMARKED}]", "")) >= F.length(line)
     )
     return (
-        (ends | inside)
+        (ends | inside | unmarked)
         & (plain | ~marked)
         & ((F.length(line) > rules.boilerplate_chars) | ~furniture)
     )
@@ -233,7 +242,11 @@ def oracle_sql(rules: LineRules = LineRules()) -> str:
     ends = f"regexp_matches(line, '[{TERMINAL}:;]({closing}|{blank})*$')"
     inside = f"regexp_matches(line, '[{TERMINAL}]{closing}*{blank}+[^\\x20\\x09-\\x0D]')"
     shouted = "len(string_split_regex(line, '[!?]{2,}')) - 1"
-    furniture = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+    furniture = f"regexp_matches(lower(line), '{PHRASE}')"
+    unmarked = (
+        f"(regexp_matches(line, '[{UNMARKED}]')"
+        f" AND 2 * length(regexp_replace(line, '[^{UNMARKED}]', '', 'g')) >= length(line))"
+    )
     return f"""
         WITH texts AS (
             SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS whole FROM documents
@@ -249,7 +262,7 @@ def oracle_sql(rules: LineRules = LineRules()) -> str:
             WHERE times > 1 GROUP BY n
         ), lines AS (
             SELECT n, line,
-                   ({ends} OR {inside})
+                   ({ends} OR {inside} OR {unmarked})
                    AND NOT (regexp_matches(line, '[{marks}]|[!?]{{2}}')
                             AND ({many(shouted)} OR {many(count(SEPARATORS))} OR {many(count(MARKUP))}))
                    AND (length(line) > {rules.boilerplate_chars} OR NOT ({furniture})) AS passes
