@@ -4,6 +4,14 @@ Every stage reads the written table of the one before and returns the columns of
 ``documents``; the last one returns the encoded corpus. The stages that draw on a trained
 model or on near-duplicate classes have no SQL form, so ``ORACLE_SQL`` is None and the tests
 hold each stage against a plain version.
+
+Defined results, for every stage: a null text counts as empty, has no language and goes with the
+first stage; so do empty texts and those without a letter. Very long texts are worked on whole.
+Rows are documents by themselves: rows that share an id, or have none, are judged one by one
+by their texts, and no stage drops one for another's sake, except that of near duplicates, which keeps
+one row of each class, that of the smallest id, rows without an id last, and of rows with one
+id the first that is read. Equal scores get equal verdicts. An empty
+table stays empty through all stages. Other columns than those of ``documents`` are dropped.
 """
 
 from __future__ import annotations
@@ -18,7 +26,7 @@ from tempspan.llm.jaccard_join import jaccard_join
 from tempspan.llm.language_id import UNDETERMINED, identify_languages
 from tempspan.llm.quality_rules import apply_quality_rules
 from tempspan.llm.tables import read_table
-from tempspan.runtime import fresh_folder
+from tempspan.runtime import fresh_folder, write_shared
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.5
@@ -40,17 +48,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near duplicates, that of the smallest id."""
-    docs = docs.select(*COLUMNS)
-    linked = jaccard_join(docs.select("doc_id", "text")).where("n_links > 0")
-    path = fresh_folder(spark, "linked")
-    linked.groupBy("doc_id").agg(F.max(F.col("class_id") == F.col("doc_id")).alias("stays")).write.parquet(path)
-    linked = spark.read.parquet(path)
-    if 16 * linked.count() <= BROADCAST_BYTES:
-        linked = F.broadcast(linked)
-    met = docs.join(linked, "doc_id", "left")
-    first = met.where("stays").dropDuplicates(["doc_id"])  # a repeated row has its own id
-    return met.where("stays IS NULL").union(first).select(*COLUMNS)
+    """Keep one row of each class of near duplicates, that of the smallest id."""
+    # Ids may repeat or be missing, so rows are known by numbers of their own.
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS)
+    numbered = write_shared(numbered, "numbered")
+    linked = jaccard_join(numbered.select("row", "text"), key="row").where("n_links > 0")
+    linked = linked.join(numbered.select("row", "doc_id"), "row").select("row", "class_id", "doc_id")
+    linked = write_shared(linked, "linked")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    first = linked.groupBy("class_id").agg(F.min(rank).alias("first")).select("first.row")
+    gone = write_shared(linked.select("row").join(first, "row", "left_anti"), "gone")
+    if 16 * gone.count() <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
+    return numbered.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -254,3 +254,46 @@ def test_pipeline_keeps_one_of_repeated_rows(spark):
     frame = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     found = corpus_pipeline.near_duplicates(spark, frame, SF).collect()
     assert sorted(r.doc_id for r in found) == [1, 3, 4]
+
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, row string"
+
+
+def test_pipeline_loses_no_text_for_anothers_id(spark):
+    other = " ".join(reversed(PROSE.split()))
+    rows = [(1, PROSE), (2, PROSE + " More."), (2, other), (3, "a third text of its own"), (2, other + " again."),
+            (None, PROSE), (None, "without an id"), (7, "seven"), (7, "another seven"), (7, "seven")]
+    frame = spark.createDataFrame([(k, t, "en", "s", 1, "clash") for k, t in rows], DOCUMENT).repartition(3)
+    found = corpus_pipeline.near_duplicates(spark, frame, SF)
+    assert found.columns == list(corpus_pipeline.COLUMNS)
+    texts = Counter(r.text.removesuffix(" again.") for r in found.collect())
+    assert texts == Counter([PROSE, other, "a third text of its own", "without an id", "seven", "another seven"])
+    assert {r.doc_id for r in found.collect() if r.text == PROSE} == {1}
+
+
+def test_pipeline_of_odd_and_no_rows(spark):
+    long = (PROSE + "\n") * 2_000
+    rows = [(1, None), (2, ""), (3, " \n"), (None, PROSE), (4, long), (5, "!!! ???"), (5, PROSE * 2)]
+    frame = spark.createDataFrame([(k, t, None, None, None, "x") for k, t in rows], DOCUMENT)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, frame, SF)
+        assert out.columns == list(corpus_pipeline.COLUMNS) and out.count() <= len(rows)
+    assert corpus_pipeline.byte_bpe(spark, frame, SF).count() == len(rows)
+    assert corpus_pipeline.language_id(spark, frame, SF).count() == 0  # no language to learn
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, frame.limit(0), SF).count() == 0
+
+
+def test_small_groups_end_whole(spark):
+    """Groups that fill the shards exactly, and groups of which a shard holds one."""
+    for n_groups, size, whole in ((24, 20, 24), (30, 16, 24), (5, 100, 0), (48, 10, 48)):
+        rows = [(i, f"text {i % n_groups}") for i in range(n_groups * size)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        found = sharding.shard_documents(frame).collect()
+        check_shards(found)
+        shards = defaultdict(set)
+        for r in found:
+            shards[r.doc_id % n_groups].add(r.shard)
+        assert sum(len(s) == 1 for s in shards.values()) >= whole
+        fewest = -(-size // (n_groups * size // 24))
+        assert all(len(s) <= fewest + 4 for s in shards.values())

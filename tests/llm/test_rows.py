@@ -3,22 +3,28 @@
 import html
 import os
 import re
+import unicodedata
 import warnings
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import tokenizers
 from samples import LONG, PROSE, TEXTS, by_id
 from pyspark.sql import functions as F
 
-from tempspan.llm import byte_bpe, html_text, language_id, license_scan, quality_rules, token_counts
+from tempspan.llm import (
+    byte_bpe, html_text, language_id, license_scan, quality_rules, token_counts, token_files,
+)
 
 warnings.simplefilter("ignore")
 PATTERN = public_tokenizers.PATTERN
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -245,3 +251,85 @@ def test_bpe_memory_limit_changes_nothing(monkeypatch, texts):
     small = byte_bpe.Codec(RANKS, PATTERN)
     assert [small.encode([t])[0] for t in whole] == expected
     assert [small.decode([i])[0].decode() for i in expected] == whole
+
+
+def test_words_of_every_letter_before_a_comma_have_the_librarys_ids():
+    """Every assigned character below the large blocks, before commas, full stops and an s."""
+    rule = token_files.WordIds(WORD_BPE)
+    codes = [c for c in (*range(0x20, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x10000), *range(0x10000, 0x13000), *range(0x1D000, 0x1FB00))
+             if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    texts = [f"X{chr(c)}, b X{chr(c)}. b {chr(c)}'s" for c in codes]
+    texts += ["वह क़लम, और ख़त. फिर", "ড়, ঢ়. য়, কথা", "שׁלום, שׂ. בּ", "e\u0301, e\u0301. a\u0300", "İ, İ. i\u0307, b"]
+    plain = rule.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for text, ids, expected in zip(texts, rule.encode(texts), plain):
+        assert np.frombuffer(ids, "<u4").tolist() == expected.ids, text
+
+
+def test_letters_newer_than_the_libraries_are_none():
+    newer = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn" and regex.match(r"[\p{L}\p{N}]", chr(c))]
+    assert len(newer) > 100
+    count = tokenizers.Tokenizer.from_file(BYTE_BPE)
+    ranks = byte_bpe.read_ranks(RANKS)
+    coder = tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec = byte_bpe.codec(RANKS, public_tokenizers.PATTERN)
+    for c in newer[::7]:
+        text = f"ab{chr(c)}cd 12{chr(c)}3 {chr(c)}{chr(c)}!"
+        assert token_counts.count_text(text, BYTE_BPE, public_tokenizers.PATTERN) == len(count.encode(text, add_special_tokens=False).ids)
+        assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == coder.encode_ordinary(text)
+
+
+def test_sample_of_rows_without_id_keeps_its_bound(spark):
+    rows = [(None, f"text number {i} of many", "en") for i in range(5000)] + [(None, "gleich", "de")] * 3000
+    rows += [(i, f"autre {i}", "fr") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_id._sample(frame, "text", "lang", "doc_id", language_id.Settings(sample_per_language=300))
+    counts = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert counts == {"en": 300, "de": 1, "fr": 50}
+
+
+def test_follow_the_leader_is_that_of_a_plain_loop():
+    settings = language_id.Settings(epochs=2)
+    random = np.random.default_rng(0)
+    rows = [
+        (np.sort(random.choice(12, 4, replace=False)), random.random(4), int(random.integers(3))) for _ in range(40)
+    ]
+    z, n = [[0.0] * 3 for _ in range(12)], [[0.0] * 3 for _ in range(12)]
+
+    def weight(i, k):
+        if abs(z[i][k]) <= settings.l1:
+            return 0.0
+        sign = 1 if z[i][k] > 0 else -1
+        return -(z[i][k] - sign * settings.l1) / ((settings.beta + n[i][k] ** 0.5) / settings.alpha + settings.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(settings.epochs):
+        for r in order.permutation(len(rows)):
+            at, values, label = rows[r]
+            w = {(i, k): weight(i, k) for i in at for k in range(3)}
+            scores = [sum(v * w[i, k] for i, v in zip(at, values)) for k in range(3)]
+            total = sum(np.exp(s) for s in scores)
+            for i, v in zip(at, values):
+                for k in range(3):
+                    g = v * (np.exp(scores[k]) / total - (k == label))
+                    sigma = ((n[i][k] + g * g) ** 0.5 - n[i][k] ** 0.5) / settings.alpha
+                    z[i][k] += g - sigma * w[i, k]
+                    n[i][k] += g * g
+    plain = np.array([[weight(i, k) for k in range(3)] for i in range(12)])
+    assert np.allclose(plain, language_id.train_ftrl(rows, 12, 3, settings))
+
+
+def test_clean_lines_of_any_script_stay(spark):
+    clean = [
+        "The design in question was older than the house it stood in.", "He opened the catalog in the hall.",
+        "One thread more and the coat would be done.", "Her last log increased the pile.",
+        "वह नदी पुरानी चक्की के पास से धीरे बहती थी।", "کیا آپ نے وہ کتاب پڑھی ہے؟", "یہ ایک پرانی کہانی ہے۔",
+        "هل قرأت الكتاب؟", "แม่น้ำไหลผ่านโรงสีเก่าอย่างช้าๆ", "그는 집에 갔다.", "ተማሪው ወደ ቤት ሄደ።",
+    ]
+    junk = ["Please sign in to continue.", "Read more.", "Click here!", "no end of a line", "อ a line that has one letter"]
+    frame = spark.createDataFrame([(1, "\n".join(clean + junk))], "doc_id long, text string")
+    found = quality_rules.apply_quality_rules(frame).first()
+    assert found.clean_text.split("\n") == clean and found.n_lines_removed == len(junk)
+    db = duckdb.connect()
+    documents = frame.toPandas()
+    db.register("documents", documents)
+    assert db.execute(quality_rules.oracle_sql()).df().n_lines_removed[0] == len(junk)
