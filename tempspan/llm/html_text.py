@@ -10,8 +10,10 @@ holds them all, with the headings beside it. All lines of the region are returne
 furniture: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 hidden elements and reader comments, known by tag, role, class or id. A class, an id or a
 form proves little, since wrappers of whole pages bear such names too: these marks count only
-on elements that hold neither most of the page's weight nor its article or main. Where they
-leave no article, main or content line, they do not count at all.
+on elements that hold neither most of the page's weight nor its article or main, and inside an
+article not where they would take most of it. Where they
+leave no article, main or content line, they do not count at all. Cards of other texts beside or after
+the article, and what follows a heading that announces such texts, are left out too.
 
 Every page is worked on inside its own row; nothing is shuffled and a page of n characters
 takes time in proportion to n.
@@ -57,7 +59,7 @@ ROLES = frozenset(
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs "
     "captcha comment comments commentlist consent cookie cookies copyright disclaimer disqus "
-    "donate footer gdpr hidden login masthead menu modal nav navbar navigation navbox newsletter "
+    "donate feedback footer gdpr hidden login masthead menu modal nav navbar navigation navbox newsletter "
     "notice notification outbrain pager pagination paywall popup promo promoted promotion "
     "recommended register related replies respond responses search share sharing shoutbox sidebar "
     "signup skyscraper social sponsor sponsored subscribe subscription taboola tags toc toolbar "
@@ -65,7 +67,7 @@ HINTS = frozenset(
 )
 #: Those of HINTS that name lists of other texts, which may be longer than the article.
 LIST_HINTS = frozenset(
-    "comment comments commentlist disqus outbrain promoted recommended related replies respond "
+    "comment comments commentlist disqus feedback outbrain promoted recommended related replies respond "
     "responses sponsored taboola".split()
 )
 #: These name furniture only outside the article.
@@ -77,6 +79,21 @@ ENDS = {
 }
 CONTAINERS = frozenset("article aside body div dl footer form header main nav ol section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text: inside an article a part of their class or id says nothing.
+TEXTUAL = HEADINGS | frozenset("blockquote dd dt figcaption figure li p pre td th".split())
+#: These may close themselves, as other elements may not.
+FOREIGN = frozenset("math svg".split())
+#: Headings that announce other texts.
+MORE = re.compile(
+    r"\W*(read (next|more|also)|up next|what to read next|keep reading|more (from|in|on|like|stories|news|articles)\b.*"
+    r"|related( (articles|stories|posts|content|reading|links|news))?|(you (may|might) )(also )?(like|enjoy).*"
+    r"|recommended( (for you|reading|articles|stories))?|(most|also) (popular|read)|trending( now)?|latest( (news|stories))?"
+    r"|mehr zum thema|lesen sie auch|weiterlesen|das könnte sie auch interessieren"
+    r"|(à )?lire aussi|sur le même sujet|lea también|te puede interesar|artículos relacionados)\W*",
+    re.IGNORECASE,
+)
+#: A card weighs less than this share of the article.
+CARD_SHARE = 0.34
 ENDS_PARAGRAPH = BLOCK - frozenset("button option optgroup script style svg template iframe".split())
 
 
@@ -124,6 +141,8 @@ def _mark(tag: str, attributes: list[tuple[str, str | None]], in_article: bool)
         return SURE
     named = f"{given.get('class') or ''} {given.get('id') or ''}"
     words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))
+    if in_article and tag in TEXTUAL:
+        words &= set(named.lower().split())
     if tag in ("article", "main"):
         words &= {"comment", "comments", "sponsored", "ad", "advert", "related"}
     if words & LIST_HINTS:
@@ -208,6 +227,8 @@ class Events(HTMLParser):
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attributes)
+        if tag in FOREIGN:
+            self.close_tag(tag)
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
@@ -316,6 +337,18 @@ def settled_marks(found: Found, marked: np.ndarray) -> list[int]:
             or (most and headings[n] == headings[0] and (headings[n] or weight[n] >= 0.9 * weight[0]))
         ):
             marks[n] = PLAIN
+    # Names that together take most of an article prove nothing there.
+    nearest = [0] * len(tags)
+    for n in range(1, len(tags)):
+        nearest[n] = n if tags[n] in ("article", "main") and around[n] != SURE else nearest[parents[n]]
+    settled = inherited(marks, parents)
+    named = [0.0] * len(tags)
+    for n, mark in enumerate(marks):
+        if mark == NAMED and settled[parents[n]] == PLAIN and nearest[n] != n:
+            named[nearest[n]] += weight[n]
+    for n, mark in enumerate(marks):
+        if mark == NAMED and nearest[n] and nearest[n] != n and 2 * named[nearest[n]] > weight[nearest[n]]:
+            marks[n] = PLAIN
     return inherited(marks, parents)
 
 
@@ -361,12 +394,56 @@ def content_lines(found: Found, sigma: float, share: float) -> list[Line]:
         region = {holding_all(found, marked, plain, headings)}
     within = inherited([n in region for n in range(len(tags))], parents)
     whole = inherited([n in whole for n in range(len(tags))], parents)
-    return [
+    card = inherited(cards(found, weight), parents)
+    chosen = [
         x
         for x, is_content in zip(found.lines, marked)
-        if plain[x.inside] and within[x.inside]
+        if plain[x.inside] and within[x.inside] and not card[x.inside]
         and (is_content or whole[x.inside] or 2 * x.n_linked <= len(x.text))
     ]
+    return without_more(chosen, found)
+
+
+def cards(found: Found, weight: list[float]) -> list[bool]:
+    """Articles beside the heaviest one that tease other texts: much lighter, and after it or
+    with a link."""
+    tags, parents = found.tags, found.parents
+    articles = [n for n, tag in enumerate(tags) if tag == "article" and weight[n]]
+    result = [False] * len(tags)
+    if len(articles) < 2:
+        return result
+    story = max(articles, key=lambda n: weight[n])
+    around = {story, *_above(story, parents)}
+    inside = inherited([n == story for n in range(len(tags))], parents)
+    links = [0] * len(tags)
+    for line in found.lines:
+        links[line.inside] += line.n_linked > 0
+    links = summed(links, parents)
+    for n in articles:
+        beside = n not in around and not inside[n]
+        result[n] = beside and weight[n] < CARD_SHARE * weight[story] and (n > story or links[n] > 0)
+    return result
+
+
+def without_more(lines: list[Line], found: Found) -> list[Line]:
+    """The lines without what follows a heading that announces other texts, in the element
+    around it and up to the next heading of its rank there, if more text comes before it."""
+    tags, parents = found.tags, found.parents
+    gone: set[int] = set()
+    for i, line in enumerate(lines):
+        tag = tags[line.inside]
+        if i in gone or tag not in HEADINGS or tag == "h1" or not MORE.fullmatch(line.text):
+            continue
+        around, j = parents[line.inside], i + 1
+        while j < len(lines) and around in (lines[j].inside, *_above(lines[j].inside, parents)):
+            other = lines[j].inside
+            if parents[other] == around and tags[other] in HEADINGS and tags[other] <= tag:
+                break
+            j += 1
+        before = sum(len(x.text) for k, x in enumerate(lines[:i]) if k not in gone)
+        if before > sum(len(x.text) for x in lines[i + 1 : j]):
+            gone.update(range(i, j))
+    return [x for i, x in enumerate(lines) if i not in gone]
 
 
 def holding_all(found: Found, marked: np.ndarray, plain: list[bool], headings: list[int]) -> int:

@@ -333,3 +333,49 @@ def test_clean_lines_of_any_script_stay(spark):
     documents = frame.toPandas()
     db.register("documents", documents)
     assert db.execute(quality_rules.oracle_sql()).df().n_lines_removed[0] == len(junk)
+
+
+PARTS = [f"Part {i} of the story tells at some length what happened on day {i}, and why nobody spoke of it then." for i in range(6)]
+
+
+def paragraphs(texts, attributes=""):
+    return "".join(f"<p{attributes}>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("<article><p>%s</p><svg class='i' /><p>%s</p><math/><p>%s</p></article>" % tuple(PARTS[:3]), PARTS[:3]),
+    ("<article><h1>Title</h1>" + paragraphs(PARTS[:1], " class='notice-board'") + paragraphs(PARTS[1:2], " class='social-policy'")
+     + paragraphs(PARTS[2:3], " id='promoted-works'") + "</article>", ["Title", *PARTS[:3]]),
+    ("<article><h1>Title</h1><div class='newsletter-text'>" + paragraphs(PARTS) + "</div><div class='newsletter'>Join us</div></article>",
+     ["Title", *PARTS, "Join us"]),
+    ("<article><h1>Title</h1>" + paragraphs(PARTS) + "<div class='newsletter'>Join us</div></article>", ["Title", *PARTS]),
+    ("<main><article><h1>Title</h1>" + paragraphs(PARTS) + "</article>"
+     + "".join(f"<article><h3><a href='/x{i}'>Other {i}</a></h3><p>A teaser that says little.</p></article>" for i in range(4)) + "</main>",
+     ["Title", *PARTS]),
+    ("<main><h1>Title</h1>" + paragraphs(PARTS) + "<section><h2>Read next</h2>"
+     + "".join(f"<div><h3>Other {i}</h3><p>A teaser that says little.</p></div>" for i in range(3)) + "</section></main>", ["Title", *PARTS]),
+    ("<main><h1>Title</h1>" + paragraphs(PARTS[:3]) + "<h2>Related</h2><p>A teaser.</p><h2>The end</h2>" + paragraphs(PARTS[3:]) + "</main>",
+     ["Title", *PARTS[:3], "The end", *PARTS[3:]]),
+    ("<article><h1>Title</h1><p>%s</p><div id='reader-feedback'>%s</div></article>" % (PARTS[0], paragraphs(PARTS[1:])), ["Title", PARTS[0]]),
+])
+def test_article_stays_whole_without_its_neighbours(page, expected):
+    html_page = f"<html><body><nav><a href='/'>Home</a></nav>{page}<footer>Imprint</footer></body></html>"
+    assert html_text.main_text(html_page).split("\n\n") == expected
+
+
+def test_clustering_settles_pages_without_article_and_main():
+    menu = "".join(f"<div><a href='/{i}'>Item {i}</a></div>" for i in range(12))
+    page = f"<body><div>{menu}</div><div><div>{paragraphs(PARTS)}</div></div><div>{menu}</div></body>"
+    assert html_text.main_text(page).split("\n\n") == PARTS
+    found = html_text.parse(page)
+    ratios = [len(x.text) / x.n_tags for x in found.lines]
+    smooth = []
+    for i in range(len(ratios)):  # the plain sums of a kernel of three sigmas
+        near = [(np.exp(-0.5 * (i - j) ** 2), r) for j, r in enumerate(ratios) if abs(i - j) <= 3]
+        smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    border = sum(smooth) / len(smooth)
+    for _ in range(100):
+        low, high = [s for s in smooth if s < border], [s for s in smooth if s >= border]
+        border = (sum(low) / len(low) + sum(high) / len(high)) / 2
+    plain = [s >= border for s in smooth]
+    assert html_text.marked_lines(found.lines, 1.0).tolist() == plain and 0 < sum(plain) < len(plain)
