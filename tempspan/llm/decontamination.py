@@ -13,8 +13,11 @@ begins, or is all of a shorter item; it may have k edits (6 in 100 characters).
 quotations are found if k edits complete them to a window, that is from m - k characters on.
 
 The benchmark is the stated query set: its items are broadcast in blocks of a fixed number
-of q-grams and every document is read against every block in its own task; nothing is
-shuffled and no document meets another.
+of q-grams and every document is read against every block in its own task; no document meets
+another. With more blocks than one, a pass over the documents for each leaves what it finds in
+the shared folder, so that one block is alive at a time. Inside a task, shared q-grams are
+counted for overlapping stretches of a document, a bounded number at a time, so a text and an item that
+repeat one word take time but no more memory than others.
 
 Defined results: null and empty texts have no regions; an item shorter than q characters
 after folding is never found; items without an id are searched like others, their regions
@@ -24,6 +27,8 @@ tables give no rows or no regions; other columns stay, clashing ones are replace
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempspan.llm.tables import given_columns, worker_memory
+from tempspan.runtime import write_shared
 
 REGIONS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>"
 ARROW_REGIONS = pa.list_(
@@ -42,6 +48,11 @@ FILTER_BITS = 22
 OUTSIDE = np.uint32(0xFFFFFFFF)
 #: Windows aligned at once.
 ALIGNED = 1024
+#: Shared q-grams that are held at once, and regions before overlapping ones are merged.
+POSTINGS = 1 << 19
+MERGED = 20_000
+#: Longer items are searched in pieces that overlap by a window.
+ITEM_PIECE = 1024
 
 
 @dataclass(frozen=True)
@@ -113,8 +124,8 @@ class Block:
         self.budget = np.array([rule.budget(int(m)) for m in self.sizes], np.int64)
         self.bound = np.maximum(self.sizes - rule.q + 1 - self.budget * rule.q, 1)
 
-    def hits(self, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, place in it, diagonal) of every q-gram that the document and a text share."""
+    def matches(self, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, first posting, postings) of the document's q-grams that some item has."""
         found, n = [], len(plain)
         for start in range(0, n, 1 << 18):
             grams = qgrams(plain[start : start + (1 << 18) + self.rule.q - 1], self.rule.q)
@@ -123,19 +134,77 @@ class Block:
             times = np.searchsorted(self.grams, grams[at], "right") - first
             at, first, times = at[times > 0], first[times > 0], times[times > 0]
             if len(at):
-                offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                posting = np.repeat(first, times) + offset
-                place = self.place[posting].astype(np.int64)
-                found.append((self.owner[posting].astype(np.int64), place, np.repeat(at, times) + start - place))
+                found.append((at + start, first, times))
         if not found:
             return (np.empty(0, np.int64),) * 3
         return tuple(np.concatenate(part) for part in zip(*found))
 
+    def hits(self, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(text, place in it, diagonal) of every posting of some matches."""
+        offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        posting = np.repeat(first, times) + offset
+        place = self.place[posting].astype(np.int64)
+        return self.owner[posting].astype(np.int64), place, np.repeat(at, times) - place
+
+    def parts(self, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """The matches with about ``POSTINGS`` postings at once: stretches of the document that
+        overlap by more than any window's reach, so that each window is whole in one."""
+        upto, i = np.cumsum(times), 0
+        reach = int(self.sizes.max(initial=0) + 2 * (self.budget.max(initial=0) + 1) + self.rule.q)
+        while i < len(at):
+            done = upto[i - 1] if i else 0
+            j = max(int(np.searchsorted(upto, done + POSTINGS, "right")), int(np.searchsorted(at, at[i] + 2 * reach)))
+            yield from self.by_owner(at[i:j], first[i:j], times[i:j])
+            if j >= len(at):
+                return
+            i = int(np.searchsorted(at, max(at[j - 1] + 1 - reach, at[i] + reach)))
+
+    def by_owner(self, at: np.ndarray, first: np.ndarray, times: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """A stretch's matches, some texts at a time where they are too many at once. A text
+        and a stretch are short, so those of one text are not."""
+        if times.sum() <= 2 * POSTINGS:
+            yield at, first, times
+            return
+        grams, column, count = np.unique(first, return_inverse=True, return_counts=True)
+        length = np.zeros(len(grams), np.int64)
+        length[column] = times
+        gram = np.repeat(np.arange(len(grams)), length)
+        posting = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + grams[gram]
+        owner = self.owner[posting]
+        load = np.cumsum(np.bincount(owner, weights=count[gram]))
+        low = 0
+        while low < len(load):
+            done = load[low - 1] if low else 0
+            high = max(int(np.searchsorted(load, done + POSTINGS, "right")), low + 1)
+            mine = (owner >= low) & (owner < high)
+            low = high
+            some = np.bincount(gram[mine], minlength=len(grams))
+            begin = np.zeros(len(grams), np.int64)
+            kinds, where = np.unique(gram[mine], return_index=True)
+            begin[kinds] = posting[mine][where]  # a gram's postings are in the order of texts
+            keep = some[column] > 0
+            if keep.any():
+                yield at[keep], begin[column][keep], some[column][keep]
+
     def regions(self, plain: np.ndarray) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) in folded positions, overlapping ones merged."""
-        text, place, diagonal = self.hits(plain)
+        at, first, times = self.matches(plain)
+        found: list[tuple[int, int, int, int]] = []
+        covered: dict[int, tuple[int, int]] = {}
+        for part in self.parts(at, first, times):
+            for some in self.windows(plain, *self.hits(*part), covered):
+                found.extend(some)
+                if len(found) > MERGED:
+                    found = merged(found)
+        return [(self.ids[item], start, end, edits) for item, start, end, edits in merged(found)]
+
+    def windows(
+        self, plain: np.ndarray, text: np.ndarray, place: np.ndarray, diagonal: np.ndarray, covered: dict
+    ) -> Iterator[list[tuple[int, int, int, int]]]:
+        """Alignments of the windows that reach the bound in a band, but of those in a stretch
+        that is ``covered``, that is known to be a quotation of the item without edits."""
         if not len(text):
-            return []
+            return
         band = diagonal // (self.budget[text] + 1)
         # band b holds the diagonals of steps b and b + 1
         text, place, band = np.tile(text, 2), np.tile(place, 2), np.append(band, band - 1)
@@ -149,20 +218,28 @@ class Block:
         near &= place[last] - place[first] <= self.sizes[text[first]] - self.rule.q
         first, last = first[near], last[near]
         if not len(first):
-            return []
+            return
         text, band, low, high = text[first], band[first], place[last], place[first]
         low = low + self.rule.q - self.sizes[text]
         new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (band[1:] != band[:-1])))
-        found = []
         for a, b in zip(new, np.append(new[1:], len(text))):
             t = int(text[a])
             change = np.zeros(len(self.texts[t]) - self.sizes[t] + 2, np.int64)
             np.add.at(change, np.maximum(low[a:b], 0), 1)
             np.add.at(change, np.minimum(high[a:b], len(change) - 2) + 1, -1)
             starts = np.flatnonzero(np.cumsum(change)[:-1] > 0)
-            for k in range(0, len(starts), ALIGNED):
-                found.extend(self.align(plain, t, int(band[a]), starts[k : k + ALIGNED]))
-        return [(self.ids[item], start, end, edits) for item, start, end, edits in merged(found)]
+            item, k, m = self.items[t], int(self.budget[t]), int(self.sizes[t])
+            known = covered.get(item, (0, 0))
+            begin = int(band[a]) * (k + 1) - k + starts
+            starts = starts[(begin < known[0]) | (begin + m + 4 * k + 2 > known[1])]
+            for i in range(0, len(starts), ALIGNED):
+                found = self.align(plain, t, int(band[a]), starts[i : i + ALIGNED])
+                for _, start, end, edits in found:
+                    if edits == 0:
+                        touch = start <= known[1] and known[0] <= end
+                        known = (min(start, known[0]), max(end, known[1])) if touch else (start, end)
+                covered[item] = known
+                yield found
 
     def align(self, plain: np.ndarray, t: int, band: int, starts: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item number, start, end, edits) of the best alignment in a band of each of a text's
@@ -182,11 +259,11 @@ class Block:
         same = np.zeros((len(around) + 1, width), np.int32)
         np.cumsum(around == text[base : base + len(around), None], axis=0, out=same[1:])
         exact = same[starts - base + m] - same[starts - base] == m
-        found = [
-            (self.items[t], low + int(start) + int(shift), low + int(start) + int(shift) + m, 0)
-            for start, shift in zip(starts[exact.any(axis=1)], exact[exact.any(axis=1)].argmax(axis=1))
-        ]
-        starts = starts[~exact.any(axis=1)]
+        held = exact.any(axis=1)
+        at = np.sort(low + starts[held] + exact[held].argmax(axis=1))
+        cut = np.flatnonzero(np.append(True, np.diff(at) > m)) if len(at) else at
+        found = [(self.items[t], int(part[0]), int(part[-1]) + m, 0) for part in np.split(at, cut[1:]) if len(part)]
+        starts = starts[~held]
         if not len(starts):
             return found
         steps = np.arange(width, dtype=np.int32)
@@ -223,7 +300,7 @@ def item_windows(item: int | None, text: str | None, rule: MatchRule) -> list[tu
     plain = plain[inner[0] : inner[-1] + 1] if len(inner) else plain[:0]
     if len(plain) < rule.q:
         return []
-    size = max(rule.block_grams, 2 * rule.window)
+    size = max(min(rule.block_grams, ITEM_PIECE), 2 * rule.window)
     starts = range(0, max(len(plain) - rule.window, 0) + 1, size - rule.window + 1)
     return [(item, plain[s : s + size]) for s in starts]
 
@@ -250,24 +327,40 @@ def with_regions(
 
     A start is exact where there are no edits and otherwise within the edit budget.
     """
-    spark = documents.sparkSession
     kept = [c for c in documents.columns if c != "regions"]
+    found = blocks(benchmark, item, item_text, rule)
+    first, second = next(found, None), next(found, None)
     given, at = given_columns(documents, kept, text)
-    result = given.withColumn("regions", F.array().cast(REGIONS))
-    for block in blocks(benchmark, item, item_text, rule):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                regions = []
-                for value, known in zip(batch.column(at), batch.column(len(kept))):
-                    regions.append(known.as_py() + text_regions(value.as_py(), shared.value))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(regions, ARROW_REGIONS)], names=[*kept, "regions"]
-                )
-
-        result = result.mapInArrow(search, result.schema)
-    return result
+    if first is None:
+        return documents.select(*kept).withColumn("regions", F.array().cast(REGIONS))
+    if second is None:
+        return searched(given, at, kept, first)
+    # One block after the other: each reads the texts and leaves only what it finds.
+    numbered = write_shared(documents.select(F.monotonically_increasing_id().alias("_row"), *kept), "numbered")
+    texts = numbered.select("_row", text)
+    passes = []
+    for block in itertools.chain([first, second], found):
+        hits = searched(texts, 1, ["_row"], block).where(F.size("regions") > 0)
+        passes.append(write_shared(hits, "regions"))
+    union = functools.reduce(DataFrame.union, passes)
+    regions = union.groupBy("_row").agg(F.flatten(F.collect_list("regions")).alias("regions"))
+    met = numbered.join(regions, "_row", "left")
+    return met.select(*kept, F.coalesce("regions", F.array().cast(REGIONS)).alias("regions"))
+
+
+def searched(given: DataFrame, at: int, kept: list[str], block: Block) -> DataFrame:
+    """The kept columns and the regions of one block in the texts of column ``at``."""
+    shared = given.sparkSession.sparkContext.broadcast(block)
+    schema = given.select(*kept, F.array().cast(REGIONS).alias("regions")).schema
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regions = [text_regions(value.as_py(), shared.value) for value in batch.column(at)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(kept)], pa.array(regions, ARROW_REGIONS)], names=[*kept, "regions"]
+            )
+
+    return given.mapInArrow(search, schema)
 
 
 def text_regions(text: str | None, block: Block) -> list[dict]:

@@ -101,14 +101,13 @@ def pretoken_pattern(pattern: str) -> regex.Pattern:
 
 
 @functools.cache
-def unknown_letters() -> regex.Pattern:
+def unknown_letters() -> frozenset[str]:
     """Letters and digits that ``regex`` knows and the tokenizer libraries do not yet."""
     from tokenizers import Regex, pre_tokenizers
 
     known = regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))))
     rest = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed").pre_tokenize_str("".join(known))
-    letters = "".join(part for part, _ in rest)
-    return regex.compile(f"[{letters}]" if letters else r"(?!)")
+    return frozenset("".join(part for part, _ in rest))
 
 
 #: A character that belongs to no class in any version.
@@ -117,9 +116,9 @@ NO_CLASS = "\u0378"
 
 def cut_words(pretoken: regex.Pattern, text: str) -> list[str]:
     """The pattern's matches in a text, by the classes of the libraries' Unicode version."""
-    if text.isascii() or not (unknown := unknown_letters()).search(text):
+    if text.isascii() or (unknown := unknown_letters()).isdisjoint(text):
         return pretoken.findall(text)
-    masked = unknown.sub(NO_CLASS, text)
+    masked = "".join(NO_CLASS if c in unknown else c for c in text)
     return [text[m.start() : m.end()] for m in pretoken.finditer(masked)]
 
 

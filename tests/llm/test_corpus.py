@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 from samples import PROSE, SF, TEXTS, by_id
 
 import corpus_pipeline
@@ -117,6 +118,72 @@ def test_passages_are_found_and_clean_texts_are_not(spark, edge):
     assert decontamination.decontaminate(edge, benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def distance_at_most(a, b, k):
+    """Whether two strings are within k edits."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+        if min(row) > k:
+            return False
+    return row[-1] <= k
+
+
+def test_windows_within_the_budget_are_those_of_all_edit_distances():
+    """Every window of every item against every stretch of every text."""
+    r = random.Random(8)
+    rule = decontamination.MatchRule(q=4, window=24, edit_share=0.1)
+    items = ["abcab cabca bcabc abcab cabca", "the keeper counted lanterns twice", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]
+    block = decontamination.Block([w for i, t in enumerate(items) for w in decontamination.item_windows(i, t, rule)], rule)
+    k, m = rule.budget(24), 24
+    for _ in range(40):
+        item = r.choice(items)
+        start = r.randrange(len(item) - m + 1)
+        text = "x" * r.randrange(5) + edited(r, item[start : start + m], r.randrange(k + 3)) + r.choice(["", " zz", " aaaa"])
+        found = {x["item_id"] for x in decontamination.text_regions(text, block)}
+        plain = {
+            i
+            for i, t in enumerate(items)
+            if any(
+                distance_at_most(t[a : a + m], text[b : b + n], k)
+                for a in range(len(t) - m + 1) for n in range(m - k, m + k + 1) for b in range(max(len(text) - n + 1, 0))
+            )
+        }
+        assert found == plain, text
+
+
+def test_parts_and_blocks_give_the_same_regions(spark, documents, monkeypatch):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    whole = by_id(decontamination.decontaminate(documents, benchmark))
+    rule = decontamination.MatchRule(block_grams=3000)
+    assert len(list(decontamination.blocks(benchmark, "item_id", "text", rule))) > 2
+    blocks = by_id(decontamination.decontaminate(documents.withColumn("_other", F.lit(1)), benchmark, rule))
+    assert blocks.keys() == whole.keys()
+    for key, row in whole.items():
+        assert sorted(blocks[key].regions) == sorted(row.regions) and blocks[key].item_ids == row.item_ids
+    monkeypatch.setattr(decontamination, "POSTINGS", 50)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    items = [w for r in benchmark.collect() for w in decontamination.item_windows(r.item_id, r.text, decontamination.MatchRule())]
+    block = decontamination.Block(items, decontamination.MatchRule())
+    for key, text in texts.items():
+        found = [tuple(x.values()) for x in decontamination.text_regions(text, block)]
+        assert sorted(found) == sorted(map(tuple, whole[key].regions))
+
+
+def test_repeated_words_take_little_memory():
+    import tracemalloc
+
+    rule = decontamination.MatchRule()
+    block = decontamination.Block(decontamination.item_windows(1, "a " * 300, rule), rule)
+    tracemalloc.start()
+    (region,) = decontamination.text_regions("a " * 15_000, block)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert (region["start"], region["item_id"]) == (0, 1) and region["end"] >= 29_990
+
+
 def test_quotations_of_100_characters_are_found_at_any_offset(spark):
     rule, r = decontamination.MatchRule(), random.Random(4)
     words = "".join(r.choice("abcdefghijklmnopqrstuvwxyz" + " " * 4) for _ in range(300)).split()
