@@ -251,7 +251,9 @@ def jaccard_join(
     )
     banded = kinds.select("id", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    stars = banded.join(buckets.where("least < most"), "band").where("id != least")
+    # Written, so that the adaptive planner can split a band that very many documents share.
+    buckets = write_shared(buckets.where("least < most"), "buckets")
+    stars = banded.join(buckets, "band").where("id != least")
     meeting = write_shared(
         connected_components(stars.select(F.col("id").alias("a"), F.col("least").alias("b"))), "meeting"
     )
