@@ -24,7 +24,6 @@ from tempspan.sources.streams import files_to_stream
 
 ARCHIVE_NAME = r"(?i)\.(tar(\.[a-z0-9]+)?|tgz|taz|tbz2?|txz|tzst)$"
 BLOCK_BYTES = streams.BLOCK_BYTES
-BLOCKS = "source string, size long, offset long, block string"
 #: Offsets of the rows that stand for damage and for files that are no archives.
 DAMAGED_AT = -1
 NO_ARCHIVE_AT = -2
@@ -79,15 +78,11 @@ def unpack(archives: DataFrame, skip_damaged: bool = False) -> DataFrame:
             yield source, size, DAMAGED_AT, None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for source, size, content in zip(*(batch.column(c) for c in ("source", "size", "content"))):
-                for row in blocks(source.as_py(), size.as_py(), content.as_buffer()):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+        for file in streams.files_of(batches):
+            for row in blocks(*file):
+                yield streams.block_batch(*row)
 
-    names = ["source", "size", "offset", "block"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
-    found = archives.select("source", "size", "content").mapInArrow(read, BLOCKS)
+    found = archives.select("source", "size", "content").mapInArrow(read, streams.BLOCKS)
     return found.select(
         "source", "size", "offset", F.explode_outer(F.split("block", "\n")).alias("value"),
     ).withColumn("value", without_return(F.col("value")))

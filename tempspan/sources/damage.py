@@ -20,8 +20,6 @@ from tempspan.sources import streams
 from tempspan.sources.lines import scan_lines, without_return
 from tempspan.sources.streams import COMPRESSED, files_to_stream
 
-BLOCKS = "source string, size long, offset long, block string"
-
 
 def compressed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files_to_stream(spark, path).filter(F.col("source").rlike(COMPRESSED))
@@ -54,18 +52,15 @@ def undamaged_lines(spark: SparkSession, path: str | list[str], damaged: DataFra
     the others are scanned by Spark, which leaves compressed files out by their suffix.
     """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for source, size, content in zip(*(batch.column(c) for c in ("source", "size", "content"))):
-                pieces = streams.text_pieces(source.as_py(), streams.open_source(source.as_py(), content.as_buffer()))
-                for offset, block in streams.text_blocks(pieces):
-                    # No line lies beyond the file's size, as in a scan by Spark.
-                    row = (source.as_py(), size.as_py(), min(offset, size.as_py()), block.decode("utf-8", "replace"))
-                    yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+        for source, size, content in streams.files_of(batches):
+            pieces = streams.text_pieces(source, streams.open_source(source, content))
+            for offset, block in streams.text_blocks(pieces):
+                # No line lies beyond the file's size, as in a scan by Spark.
+                text = block.decode("utf-8", "replace")
+                yield streams.block_batch(source, size, min(offset, size), text)
 
-    names = ["source", "size", "offset", "block"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
     files = compressed_files(spark, path).join(damaged.select("source"), "source", "left_anti")
-    unpacked = files.select("source", "size", "content").mapInArrow(blocks, BLOCKS).select(
+    unpacked = files.select("source", "size", "content").mapInArrow(blocks, streams.BLOCKS).select(
         "source", "size", "offset", F.explode(F.split("block", "\n")).alias("value"))
     plain = scan_lines(spark, path).filter(~F.col("source").rlike(COMPRESSED))
     return plain.unionByName(unpacked.withColumn("value", without_return(F.col("value"))))

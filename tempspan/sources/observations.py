@@ -10,9 +10,9 @@ the shared folder in between, so exact sizes decide how the lines get their slic
    broadcast, when they stay within the limit, and all others get its slices.
 3. Beyond that, the files are split into ranges of their paths whose headers fit the limit
    each. One range after another is read, with a broadcast of its own, and its lines are
-   written to the shared folder beside their slices, which are the same for all lines of a file and take
-   next to no room there. So no more than one broadcast is alive at a time, Spark opens only
-   the files of the range, and the lines do not move.
+   written to the shared folder beside their slices, which are the same for all lines of a
+   file and take next to no room there. So no more than one broadcast is alive at a time,
+   Spark opens only the files of the range, and the lines do not move.
 4. Where not even one range fits, which takes a limit near the size of a single header,
    lines and headers meet in a shuffled join by file *and* chunk of the file. A chunk holds
    at most ``CHUNK_BYTES`` of text, so no key grows with the size of a file.

@@ -41,7 +41,12 @@ CODEC_BLOCK_BYTES = 1 << 28
 #: Suffixes that Hadoop's codecs go by.
 COMPRESSED = r"\.(gz|deflate|bz2|zst|lz4|snappy)$"
 #: Schemes that pyarrow opens; the names differ for one.
-SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs",
+           "abfss": "abfss"}
+#: Blocks of text as a task passes them on; Spark splits them into lines.
+BLOCKS = "source string, size long, offset long, block string"
+BLOCK_FIELDS = [("source", pa.string()), ("size", pa.int64()), ("offset", pa.int64()),
+                ("block", pa.string())]
 
 Read = Callable[[int], bytes]
 
@@ -162,7 +167,7 @@ def _streams(read: Read, make: Callable[[], object], padded: bool = False) -> It
             if piece:
                 yield piece
             # zlib may hold output back that needs no more input.
-            while piece and len(piece) == STEP and not data and not stream.eof and not hasattr(stream, "needs_input"):
+            while len(piece) == STEP and not (data or stream.eof or hasattr(stream, "needs_input")):
                 piece = stream.decompress(b"", STEP)
                 if piece:
                     yield piece
@@ -309,6 +314,21 @@ def archive_pieces(read: Read) -> Iterator[bytes]:
     return plain(again)
 
 
+def files_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Buffer | None]]:
+    """(source, size, content) of the files in a task's batches."""
+    for batch in batches:
+        columns = (batch.column(c) for c in ("source", "size", "content"))
+        for source, size, content in zip(*columns):
+            yield source.as_py(), size.as_py(), content.as_buffer()
+
+
+def block_batch(*row: object) -> pa.RecordBatch:
+    """One block, in a batch of its own since blocks are large."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([value], kind) for value, (_, kind) in zip(row, BLOCK_FIELDS)],
+        names=[name for name, _ in BLOCK_FIELDS])
+
+
 class Pieces:
     """Pieces behind a ``read`` function."""
 
@@ -328,7 +348,8 @@ class Pieces:
         return b"".join(parts)
 
 
-def text_blocks(pieces: Iterator[bytes], block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:
+def text_blocks(pieces: Iterator[bytes],
+                block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:
     """(offset, block) of text cut at line ends, without the last newline of each block."""
     waiting, n, offset, end = [], 0, 0, -1
     for piece in pieces:
