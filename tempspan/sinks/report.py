@@ -14,6 +14,8 @@ NO_RESULTS = "No results found."
 
 # The width of a leading column and of a number, and what stands between.
 LEADING_WIDTH, NUMBER_WIDTH, BETWEEN = 12, 15, " | "
+# The columns of the quality report and the length of its rules.
+QUALITY_LINE, QUALITY_RULE = "%-30s %-15s %-15s %-30s %-15s", "-" * 105
 
 
 def cell_formats(kinds: Sequence[str]) -> str:
@@ -47,16 +49,15 @@ def quality_lines(report: DataFrame, line: str = "line") -> DataFrame:
         return F.when(known, F.format_string(text, *columns)).otherwise("")
 
     return report.select(F.format_string(
-        "%-30s %-15s %-15s %-30s %-15s", "metric",
+        QUALITY_LINE, "metric",
         cell("%d", "count"), cell("%.2f%%", "percentage"),
         cell("Min: %.2f, Max: %.2f", "min", "max"), cell("Avg: %.2f", "avg"),
     ).alias(line))
 
 
 def print_quality(report: DataFrame) -> None:
-    titles = "%-30s %-15s %-15s %-30s %-15s" % (
-        "Metric", "Count", "Percentage", "Range", "Average")
-    print(f"\nData Quality Report:\n{'-' * 105}\n{titles}\n{'-' * 105}")
+    titles = QUALITY_LINE % ("Metric", "Count", "Percentage", "Range", "Average")
+    print(f"\nData Quality Report:\n{QUALITY_RULE}\n{titles}\n{QUALITY_RULE}")
     for row in quality_lines(report).toLocalIterator():
         print(row[0])
 
