@@ -181,8 +181,12 @@ def q_rejected_files(spark, sf):
     number is that of the writing tasks), and the number of damaged and empty ones. Each kind of damage has a folder with files of its own."""
     root = observation_files(spark, sf)
     folder = F.regexp_extract(F.split_part("source", F.lit(root), F.lit(-1)), "^/([^/]+)/", 1)
-    headerless = read_observations(spark, root).rejects.groupBy(folder.alias("folder"), "reason").agg(
-        F.sum("size").alias("bytes"), F.lit(0).cast("long").alias("inputs"))
+    rejects = read_observations(spark, root).rejects.select("source", "reason")
+    # The files are compressed, so the bytes of their text are counted line by line.
+    line_bytes = F.sum(F.octet_length("value") + 1).cast("long")
+    texts = scan_lines(spark, root).groupBy("source").agg(line_bytes.alias("bytes"))
+    headerless = rejects.join(texts, "source").groupBy(folder.alias("folder"), "reason").agg(
+        F.sum("bytes").alias("bytes"), F.lit(0).cast("long").alias("inputs"))
     files, archives = damaged_inputs(spark, sf)
     out = read_observations(spark, files, skip_damaged=True).rejects.unionByName(
         observations_from_lines(read_archives(spark, archives, skip_damaged=True)).rejects)
