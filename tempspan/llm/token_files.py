@@ -37,7 +37,7 @@ from tempspan.runtime import fresh_folder
 
 BLOCK_TOKENS = 1 << 20
 PORTION_CHARS = 4_000_000
-REMEMBERED, REMEMBERED_CHARS = 600_000, 64
+REMEMBERED, REMEMBERED_CHARS = 800_000, 64
 WORDS_AT_ONCE = 2_000
 IDS_SCHEMA = "part int, seq long, first long, doc_id long, n_tokens long, ids binary"
 BLOCK_SCHEMA = (
@@ -49,7 +49,10 @@ BLOCK_SCHEMA = (
 #: A comma or full stop that ends a word after another mark: both are one pre-token. Of
 #: what Python takes for letters and blanks, one letter's small form ends in a mark, and the
 #: four separators are marks to the library.
-MARK_AFTER_MARK = re.compile(r"(?:[^\w\s]|[_\u0130\x1c-\x1f])[.,] ")
+MARK_AFTER_MARK = re.compile(r"[.,] (?<=(?:[^\w\s]|[_\u0130\x1c-\x1f])[.,] )")
+#: A word of letters with marks behind it or none: the library's pattern cuts between the two and
+#: nowhere else, and its normaliser only lowers the letters.
+LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=>?@\[-`{|}~]*)")
 
 
 def words_of(text: str) -> list[str]:
@@ -72,20 +75,52 @@ class WordIds:
     """Ids of texts by the tokenizer library, asked once for each word between cuts.
 
     The library's normaliser drops white space and its pattern never spans it, so a text's
-    ids are those of its words in order. Words are asked for together, with the library's
-    own special string between them, which never meets its neighbours.
+    ids are those of its words in order. Words are asked for together. Those of letters and
+    marks stand between blanks, and the library's marks of a word's end tell their ids apart;
+    as normaliser and pattern leave nothing else to do there, a second tokenizer with the same
+    model passes them over. Between all other words stands the library's own special string,
+    which never meets its neighbours.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.of_blanks = Tokenizer.from_file(path)
+        self.of_blanks.normalizer = normalizers.Sequence([])
+        self.of_blanks.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
+        ending = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if ending and t.endswith(ending)]] = True
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
         self.between_id, self.between = special[-1]
         self.known: dict[str, bytes] = {"": b""}
 
     def _learn(self, words: list[str]) -> None:
+        others, plain = [], []
+        for word in words:
+            found = LETTERS_AND_MARKS.fullmatch(word)
+            plain.append((word, *found.groups())) if found else others.append(word)
+        for start in range(0, len(plain), WORDS_AT_ONCE):
+            part = plain[start : start + WORDS_AT_ONCE]
+            asked = " ".join([f"{a} {b}" if b else a for _, a, b in part]).lower()
+            found = self.of_blanks.encode_batch_fast([asked], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            last = np.cumsum([2 if b else 1 for _, _, b in part]) - 1
+            if len(ends) != last[-1] + 1:  # a model that marks no ends
+                others += [w for w, _, _ in part]
+                continue
+            ends, data = ends[last].tolist(), ids.tobytes()
+            self.known.update((w[0], data[a:b]) for w, a, b in zip(part, [0, *ends], ends))
+        self._learn_apart(others)
+
+    def _learn_apart(self, words: list[str]) -> None:
         plain = [w for w in words if self.between not in w]
         for start in range(0, len(plain), WORDS_AT_ONCE):
             part = plain[start : start + WORDS_AT_ONCE]
@@ -102,10 +137,10 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [words_of(t) for t in texts]
-        new = {w for words in cut for w in words if w not in self.known}
+        used = set().union(*cut)
+        new = used.difference(self.known)
         if new and len(self.known) + len(new) > REMEMBERED:
-            used = {w: self.known[w] for words in cut for w in words if w in self.known}
-            self.known = {"": b""} | used
+            self.known = {"": b""} | {w: self.known[w] for w in used - new}
         self._learn(list(new))
         result = [b"".join(map(self.known.__getitem__, words)) for words in cut]
         for word in new:
@@ -163,8 +198,8 @@ def count_ids(encoded: DataFrame, n_symbols: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_symbols, np.int64)
         for batch in batches:
-            for data in batch.column(0):
-                total += np.bincount(np.frombuffer(data.as_py(), kind), minlength=n_symbols)
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
+            total += np.bincount(ids, minlength=n_symbols)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
