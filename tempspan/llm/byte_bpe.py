@@ -3,18 +3,18 @@ aggregation.
 
 Inside a task an in-process DuckDB holds the merge table (left symbol, right symbol, joined
 symbol) and the vocabulary. The pre-tokens of the texts that the task has not seen yet are
-laid out as rows (word, position, symbol); a recursive query joins each position and its
-successor with the merge table and contracts every word's leftmost pair of minimum rank,
-round by round, until no pair is left. A pre-token that is itself in the vocabulary is one
-token, as in the usual library. Decoding cuts a document's ids before every token that
-begins with a space and puts the bytes of each new piece together by an aggregation ordered
-by position.
+rows (word, its symbols, the ranks of its neighbouring pairs) with a mark at both ends; a
+recursive query contracts every word's leftmost pair of minimum rank and looks up the two
+pairs that the new symbol makes with its neighbours, round by round, until no pair is left.
+A pre-token that is itself in the vocabulary is one token, as in the usual library. Decoding
+puts the bytes of each document's tokens together by an aggregation ordered by position, in
+stretches of a bounded number of tokens.
 
 Texts never leave their rows, so hot sources do not matter; each task works through its
-Arrow batches in portions of bounded bytes. Encoded pre-tokens and decoded pieces are
-remembered up to a fixed number, which changes speed only. A pre-token above
-``RECURSIVE_BYTES`` bytes has too many rounds for row-wise recursion and is merged by the
-heap of :mod:`tempspan.llm.token_counts`, with equal results.
+Arrow batches in portions of bounded bytes. Encoded pre-tokens are remembered up to a fixed
+number, which changes speed only. A pre-token above ``RECURSIVE_BYTES`` bytes has too many
+rounds for the recursion and is merged by the heap of :mod:`tempspan.llm.token_counts`, with
+equal results.
 
 Defined results: null and empty texts have no ids and decode to nothing; repeated rows give
 repeated results; an empty table gives no rows; other columns stay, clashing ones are
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -36,47 +37,35 @@ from tempspan.llm.tables import given_columns, worker_memory
 from tempspan.llm.token_counts import cut_words, merge_count, pretoken_pattern
 
 RECURSIVE_BYTES = 128
-#: Words and pieces that a Python worker remembers, and the longest that it does.
+#: Words that a Python worker remembers, and the longest that it does.
 REMEMBERED = 500_000
 REMEMBERED_BYTES = 128
-#: Text that is worked on at once, and rows that one DuckDB query gets.
-PORTION_BYTES = 2_000_000
+#: Text that is worked on at once, and symbols that one DuckDB query gets.
+PORTION_BYTES = 4_000_000
 QUERY_SYMBOLS = 200_000
-POSITION_BITS = 10
-POSITIONS = (1 << POSITION_BITS) - 1
+#: Bytes of ids that one query decodes, and that are put together as one piece.
+QUERY_IDS = 2_000_000
+STRETCH = 400_000
+#: The rank of a pair that has none, and the symbol before and after every word.
+NONE = (1 << 31) - 1
 
-# A place is the word's number and, in the low bits, the position; a cost is the joined
-# symbol, which is its rank, and the position, so that the least cost is the pair to merge.
+# A joined symbol is the rank of its pair.
 MERGE = f"""
-WITH RECURSIVE merged(place, symbol, n_round) AS (
-    SELECT place, symbol, 0 FROM symbols
+WITH RECURSIVE merged(word, symbols, ranks, best) AS (
+    SELECT word, symbols, ranks, list_min(ranks) FROM words
     UNION ALL
-    (WITH pairs AS MATERIALIZED (
-        SELECT place, symbol, n_round, before,
-               (joined::BIGINT << {POSITION_BITS}) | (place & {POSITIONS}) AS cost
-        FROM (
-            SELECT *, lead(symbol) OVER near AS symbol_after,
-                   lag(place) OVER near AS before, lead(place) OVER near AS after
-            FROM merged WINDOW near AS (ORDER BY place)
-        ) LEFT JOIN merge_table ON pair =
-            CASE WHEN (place >> {POSITION_BITS}) = (after >> {POSITION_BITS})
-                 THEN (symbol::BIGINT << 32) | symbol_after END
-    ), chosen AS (
-        SELECT place >> {POSITION_BITS} AS word, min(cost) AS best
-        FROM pairs WHERE cost IS NOT NULL GROUP BY 1
+    SELECT word, symbols[1:i - 1] || [best] || list_slice(symbols, i + 2, len(symbols)),
+           made, list_min(made)
+    FROM (
+        SELECT word, symbols, best, i,
+               ranks[1:i - 2] || [coalesce(l.joined, {NONE}), coalesce(r.joined, {NONE})]
+                   || list_slice(ranks, i + 2, len(ranks)) AS made
+        FROM (SELECT *, list_position(ranks, best) AS i FROM merged WHERE best < {NONE})
+        LEFT JOIN merge_table l ON l.pair = (symbols[i - 1]::BIGINT << 32) | best
+        LEFT JOIN merge_table r ON r.pair = (best::BIGINT << 32) | symbols[i + 2]
     )
-    SELECT place,
-           (CASE WHEN (place & {POSITIONS}) = (best & {POSITIONS})
-                 THEN best >> {POSITION_BITS} ELSE symbol END)::INTEGER,
-           n_round + 1
-    FROM pairs JOIN chosen ON (place >> {POSITION_BITS}) = word
-    WHERE before IS DISTINCT FROM (word << {POSITION_BITS}) | (best & {POSITIONS}))
-), ended AS (
-    SELECT place >> {POSITION_BITS} AS word, max(n_round) AS last_round FROM merged GROUP BY 1
 )
-SELECT word, list(symbol ORDER BY place) AS ids
-FROM merged JOIN ended ON word = (place >> {POSITION_BITS}) AND last_round = n_round
-GROUP BY word
+SELECT word, list_slice(symbols, 2, len(symbols) - 1) AS ids FROM merged WHERE best = {NONE}
 """
 
 DECODE = """
@@ -97,6 +86,7 @@ class Codec:
         self.ranks = read_ranks(path)
         self.pretoken = pretoken_pattern(pattern)
         self.of_byte = [self.ranks[bytes([b])] for b in range(256)]
+        self.symbols = np.array(self.of_byte, np.int32)
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         self.pairs: dict[int, int] = {}
         for token, rank in self.ranks.items():
@@ -105,9 +95,9 @@ class Codec:
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = rank
-        self.opens = np.array([t[:1] == b" " for t in self.bytes_of])
+        first = [self.pairs.get(a << 32 | b, NONE) for a in self.of_byte for b in self.of_byte]
+        self.rank_of_bytes = np.array(first, np.int32)
         self.ids_by_word: dict[str, bytes] = {}
-        self.bytes_by_piece: dict[bytes, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self._table(
             "merge_table",
@@ -133,14 +123,22 @@ class Codec:
 
     def _merge(self, words: list[bytes]) -> Iterator[tuple[int, bytes]]:
         """Ids of words by the recursive query: (number of the word, ids)."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.frombuffer(b"".join(words), np.uint8)
-        starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        word = np.repeat(np.arange(len(words)), lengths)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 2)
+        starts = np.append(0, ends[:-1])
+        # Every word stands between two bytes, which then become the marks.
+        data = np.frombuffer(b"\0" + b"\0\0".join(words) + b"\0", np.uint8)
+        symbols = self.symbols[data]
+        symbols[starts] = symbols[ends - 1] = NONE
+        ranks = self.rank_of_bytes[data[:-1].astype(np.int32) << 8 | data[1:]]
+        ranks[starts] = ranks[ends - 2] = NONE
+        ranks = np.delete(ranks, ends[:-1] - 1)  # from one word's end to the next one's start
+        numbers = np.arange(len(words) + 1, dtype=np.int32)
+        offsets = np.append(0, ends).astype(np.int32)
         result = self._ask(
-            "symbols", MERGE,
-            place=pa.array(word << POSITION_BITS | (np.arange(len(flat)) - starts)),
-            symbol=pa.array(np.array(self.of_byte, np.int32)[flat]),
+            "words", MERGE,
+            word=pa.array(numbers[:-1]),
+            symbols=pa.ListArray.from_arrays(pa.array(offsets), pa.array(symbols)),
+            ranks=pa.ListArray.from_arrays(pa.array(offsets - numbers), pa.array(ranks)),
         )
         ids = result.column("ids").combine_chunks()
         flat = ids.flatten().to_numpy().astype("<u4").tobytes()
@@ -175,35 +173,28 @@ class Codec:
             ask()
         return found
 
-    def _learn_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        found, first = {}, 0
-        while first < len(pieces):
-            last, n = first, 0
-            while last < len(pieces) and (last == first or n + len(pieces[last]) <= 4 * QUERY_SYMBOLS):
-                n += len(pieces[last])
-                last += 1
-            part = pieces[first:last]
-            lengths = np.fromiter((len(p) // 4 for p in part), np.int64, len(part))
-            result = self._ask(
-                "tokens", DECODE,
-                piece=pa.array(np.repeat(np.arange(len(part), dtype=np.int32), lengths)),
-                pos=pa.array(np.arange(lengths.sum())),
-                id=pa.array(np.frombuffer(b"".join(part), "<u4").astype(np.int32)),
-            )
-            for i, data in zip(result.column(0).to_pylist(), result.column(1).to_pylist()):
-                found[part[i]] = data
-            first = last
-        return found
+    def _join(self, pieces: list[bytes]) -> list[bytes]:
+        """The bytes of pieces, each some ids, by the aggregation."""
+        lengths = np.fromiter((len(p) // 4 for p in pieces), np.int64, len(pieces))
+        result = self._ask(
+            "tokens", DECODE,
+            piece=pa.array(np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)),
+            pos=pa.array(np.arange(lengths.sum(), dtype=np.int32)),
+            id=pa.array(np.frombuffer(b"".join(pieces), "<u4").astype(np.int32)),
+        )
+        found = dict(zip(result.column(0).to_pylist(), result.column(1).to_pylist()))
+        return [found[i] for i in range(len(pieces))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [cut_words(self.pretoken, t) for t in texts]
         known = self.ids_by_word
-        new = {w for words in cut for w in words if w not in known}
+        used = set().union(*cut)
+        new = used.difference(known)
         if new and len(known) + len(new) > REMEMBERED:
-            used = {w: known[w] for words in cut for w in words if w in known}
+            kept = {w: known[w] for w in used - new}
             known.clear()
-            known.update(used)
+            known.update(kept)
         known.update(self._learn_words(new))
         result = [b"".join(map(known.__getitem__, words)) for words in cut]
         for word in new:
@@ -213,24 +204,9 @@ class Codec:
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids."""
-        cut = []
-        for data in ids:
-            opens = self.opens[np.frombuffer(data, "<u4")]
-            opens[:1] = True
-            starts = (4 * np.flatnonzero(opens)).tolist()
-            cut.append([data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])])
-        known = self.bytes_by_piece
-        new = {p for pieces in cut for p in pieces if p not in known}
-        if new and len(known) + len(new) > REMEMBERED:
-            used = {p: known[p] for pieces in cut for p in pieces if p in known}
-            known.clear()
-            known.update(used)
-        known.update(self._learn_pieces(list(new)))
-        result = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for piece in new:
-            if len(piece) > REMEMBERED_BYTES:
-                del known[piece]
-        return result
+        pieces = [data[a : a + STRETCH] for data in ids for a in range(0, len(data), STRETCH)]
+        joined = (d for part in portions(pieces, QUERY_IDS) for d in self._join(part))
+        return [b"".join(islice(joined, -(-len(data) // STRETCH))) for data in ids]
 
 
 def codec(path: str, pattern: str) -> Codec:
@@ -272,8 +248,7 @@ def _encoded(texts: list[str | None], path: str, pattern: str) -> list[bytes]:
 
 
 def _decoded(ids: list[bytes | None], path: str, pattern: str) -> list[bytes]:
-    given = [i or b"" for i in ids]
-    return [d for part in portions(given, PORTION_BYTES) for d in codec(path, pattern).decode(part)]
+    return codec(path, pattern).decode([i or b"" for i in ids])
 
 
 def _count(ids: list[bytes]) -> pa.Array:

@@ -379,3 +379,34 @@ def test_clustering_settles_pages_without_article_and_main():
         border = (sum(low) / len(low) + sum(high) / len(high)) / 2
     plain = [s >= border for s in smooth]
     assert html_text.marked_lines(found.lines, 1.0).tolist() == plain and 0 < sum(plain) < len(plain)
+
+
+def test_bpe_of_many_new_words_fits_a_small_database(monkeypatch):
+    """200000 symbols merge in 80 MB, and stretches of ids decode to the same bytes."""
+    random = np.random.default_rng(0)
+    words = [bytes(w) for w in random.choice(np.frombuffer(b"etaoinsr", np.uint8), (20000, 10))]
+    words += [b"a" * 128, b"\x00\xff", "é".encode() * 40]
+    encoding = tiktoken.Encoding(
+        "own", pat_str=PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={}
+    )
+    codec = byte_bpe.Codec(RANKS, PATTERN)
+    codec.db.execute("SET memory_limit = '80MB'")
+    found = dict(codec._merge(words))
+    ids = [found[i] for i in range(len(words))]
+    assert all(np.frombuffer(i, "<u4").tolist() == encoding._encode_single_piece(w) for w, i in zip(words, ids))
+    monkeypatch.setattr(byte_bpe, "STRETCH", 8)
+    monkeypatch.setattr(byte_bpe, "QUERY_IDS", 4000)
+    assert codec.decode([*ids[-2000:], b""]) == [*words[-2000:], b""]
+
+
+def test_words_of_letters_and_marks_are_asked_for_between_blanks(monkeypatch):
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [f"{a}{m}{k} {a}{m} {m}{a} {a}{k}{m}, {a}{m}{k}. A" for a in ("ab", "Éa", "ßÀ", "ª", "İ", "ǅ") for m in marks for k in marks]
+    rule = token_files.WordIds(WORD_BPE)
+    plain = rule.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for text, ids, expected in zip(texts, rule.encode(texts), plain):
+        assert np.frombuffer(ids, "<u4").tolist() == expected.ids, text
+    apart = []
+    monkeypatch.setattr(token_files.WordIds, "_learn_apart", lambda self, words: apart.extend(words))
+    token_files.WordIds(WORD_BPE)._learn(["house", "Élan!?", "o'clock", "x2", "ab<"])
+    assert apart == ["o'clock", "x2", "ab<"]
