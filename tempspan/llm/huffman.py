@@ -9,6 +9,7 @@ import numpy as np
 MAX_BITS = 18
 #: Tokens between two checkpoints, each of which is the place of a bit.
 STRIDE = 512
+LENGTH_BITS = 5
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -40,13 +41,13 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Code:
-    """Canonical codes by symbol, and the decoding table by the next bits."""
+    """Canonical codes by symbol, from the top of 64 bits, and the decoding table by the next
+    bits: symbol << LENGTH_BITS | length."""
 
     lengths: np.ndarray
     codes: np.ndarray
     bits: int
-    symbol_at: np.ndarray
-    length_at: np.ndarray
+    entry_at: np.ndarray
 
     @classmethod
     def of(cls, lengths: np.ndarray) -> Code:
@@ -57,40 +58,40 @@ class Code:
         span = np.left_shift(1, bits - lengths[used].astype(np.int64))
         first = np.cumsum(span) - span  # the code, filled up to `bits` bits
         codes = np.zeros(len(lengths), np.uint64)
-        codes[used] = (first >> (bits - lengths[used].astype(np.int64))).astype(np.uint64)
-        symbol_at, length_at = np.zeros(1 << bits, np.int32), np.ones(1 << bits, np.int64)
-        symbol_at[: span.sum()] = np.repeat(used, span)
-        length_at[: span.sum()] = np.repeat(lengths[used].astype(np.int64), span)
-        return cls(lengths, codes, bits, symbol_at, length_at)
+        codes[used] = first.astype(np.uint64) << np.uint64(64 - bits)
+        entry_at = np.ones(1 << bits, np.int64)
+        entry_at[: span.sum()] = np.repeat(used << LENGTH_BITS | lengths[used], span)
+        return cls(lengths, codes, bits, entry_at)
 
 
 def encode_block(ids: np.ndarray, code: Code) -> tuple[bytes, np.ndarray]:
     """The bits of ids, and the bit offset of every STRIDE-th id."""
-    length = code.lengths[ids].astype(np.int64)
-    ends = np.cumsum(length)
-    offset = ends - length
-    word, shift = offset >> 5, (offset & 31).astype(np.uint64)
-    placed = code.codes[ids] << (np.uint64(64) - length.astype(np.uint64) - shift)
-    n_words = (int(ends[-1]) >> 5) + 2 if len(ids) else 2
-    # bits of different ids never meet, so that adding up halves of words joins them
-    high = np.bincount(word, (placed >> np.uint64(32)).astype(np.float64), n_words)
-    low = np.bincount(word + 1, (placed & np.uint64(0xFFFFFFFF)).astype(np.float64), n_words)
-    return (high + low).astype(">u4").tobytes(), offset[::STRIDE]
+    if not len(ids):
+        return bytes(8), np.zeros(0, np.int64)
+    ends = np.cumsum(code.lengths[ids], dtype=np.int64)
+    offset = np.append(0, ends[:-1])
+    word = offset >> 5
+    placed = code.codes[ids] >> (offset & 31).view(np.uint64)
+    # bits of different ids never meet, so that adding them up joins them; a code starts in every word
+    joined = np.add.reduceat(placed, np.append(0, np.flatnonzero(np.diff(word)) + 1))
+    words = np.zeros((int(ends[-1]) >> 5) + 2, np.uint64)
+    words[: len(joined)] = joined >> np.uint64(32)
+    words[1 : len(joined) + 1] |= joined & np.uint64(0xFFFFFFFF)
+    return words.astype(">u4").tobytes(), offset[::STRIDE]
 
 
 def decode_block(data: bytes, checkpoints: np.ndarray, n_ids: int, code: Code) -> np.ndarray:
     """The ids of a block; all stretches between checkpoints advance together."""
     words = np.append(np.frombuffer(data, ">u4").astype(np.uint64), np.uint64(0))
+    windows = (words[:-1] << np.uint64(32) | words[1:]).view(np.int64)
     at = np.array(checkpoints, np.int64)
     out = np.zeros((STRIDE, len(at)), np.int32)
     n_last = n_ids - (len(at) - 1) * STRIDE  # the last stretch may be shorter
-    mask, top = np.uint64((1 << code.bits) - 1), 64 - code.bits
+    mask, top, length = (1 << code.bits) - 1, 64 - code.bits, (1 << LENGTH_BITS) - 1
     for step in range(min(STRIDE, n_ids)):
         if step == n_last:
             at = at[:-1]
-        word = at >> 5
-        window = (words[word] << np.uint64(32)) | words[word + 1]
-        key = ((window >> (top - (at & 31)).astype(np.uint64)) & mask).astype(np.int64)
-        out[step, : len(at)] = code.symbol_at[key]
-        at = at + code.length_at[key]
+        entry = code.entry_at[(windows[at >> 5] >> (top - (at & 31))) & mask]
+        out[step, : len(at)] = entry >> LENGTH_BITS
+        at = at + (entry & length)
     return out.T.reshape(-1)[:n_ids]

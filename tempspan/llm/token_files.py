@@ -46,36 +46,79 @@ BLOCK_SCHEMA = (
 )
 
 
-#: A comma or full stop that ends a word after another mark: both are one pre-token. Of
-#: what Python takes for letters and blanks, one letter's small form ends in a mark, and the
-#: four separators are marks to the library.
-MARK_AFTER_MARK = re.compile(r"[.,] (?<=(?:[^\w\s]|[_\u0130\x1c-\x1f])[.,] )")
+def _classes() -> tuple[bytes, np.ndarray]:
+    """The class of each byte, and for two classes (first << 3 | second) whether a word starts
+    between them: where the library's pattern always cuts. What ASCII and the Latin letters do
+    not tell is of the last class, before and after which nothing is cut but at blanks; marks
+    stay together, and an apostrophe stays with letters behind it."""
+    blank, letter, digit, mark, apostrophe, other = range(6)
+    of = np.full(256, other, np.uint8)
+    of[33:127] = mark
+    for first, last in ("az", "AZ"):
+        of[ord(first) : ord(last) + 1] = letter
+    of[ord("0") : ord("9") + 1] = digit
+    of[ord("'")] = apostrophe
+    of[[ord(c) for c in " \n\t\r"]] = blank
+    cut = np.zeros(64, bool)
+    cut[[blank << 3 | k for k in range(1, 6)]] = True
+    cut[[digit << 3 | k for k in (letter, digit, mark, apostrophe)]] = True
+    cut[[letter << 3 | k for k in (digit, mark, apostrophe)]] = True
+    cut[[mark << 3 | letter, mark << 3 | digit, apostrophe << 3 | digit]] = True
+    return of.tobytes(), cut
+
+
+CLASS_OF, CUT = _classes()
+AT_BLANKS = CUT & (np.arange(64) < 8)
+BLANK, LETTER = 0, 1
+#: The first byte of the Latin letters from A with grave on, and the second bytes of its two marks.
+LATIN, TIMES, DIVIDED = 0xC3, 0x97, 0xB7
+
+
+def cut_words(texts: list[bytes], cut: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
+    """The words of UTF-8 texts without blanks, and where each text's words end among them."""
+    joined = b"\n".join([b"", *texts])
+    data = np.frombuffer(joined, np.uint8)
+    kind = np.frombuffer(bytearray(joined.translate(CLASS_OF)), np.uint8)
+    lead = np.flatnonzero(data == LATIN)
+    follows = data[lead + 1]
+    lead = lead[(follows != TIMES) & (follows != DIVIDED)]
+    kind[lead] = kind[lead + 1] = LETTER
+    starts = np.zeros(len(data), bool)
+    pairs = (kind[:-1] << 3 | kind[1:]).tobytes()
+    starts[1:] = np.frombuffer(pairs.translate(np.resize(cut, 256).tobytes()), bool)
+    text_ends = np.cumsum([1 + len(t) for t in texts])
+    ends = np.searchsorted(np.flatnonzero(starts), text_ends)
+    full = kind != BLANK
+    data = data[full]
+    offsets = np.append(np.flatnonzero(starts[full]), len(data)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)), ends
+
+
+def cuts_of(text: str) -> tuple[bytes, bool]:
+    """A text's bytes, and whether they may be cut where bytes tell it, not at blanks alone.
+
+    ASCII capitals, which the library's normaliser lowers, are lowered, if no combining mark
+    could join the small letter and there may be no special string. A text that its normaliser
+    composes otherwise is cut at blanks alone.
+    """
+    data = text.encode("utf-8")
+    lowered = data.lower()
+    if "<|" in text or not (text.isascii() or unicodedata.is_normalized("NFC", lowered.decode("utf-8"))):
+        return data, False
+    return lowered, True
+
+
 #: A word of letters with marks behind it or none: the library's pattern cuts between the two and
 #: nowhere else, and its normaliser only lowers the letters.
 LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=>?@\[-`{|}~]*)")
 
 
-def words_of(text: str) -> list[str]:
-    """A text cut where the library's pattern always cuts: at blanks, and before a comma or
-    full stop that ends a word. ASCII capitals, which its normaliser lowers, are lowered, if
-    no combining mark could join the small letter and there may be no special string. A text
-    that its normaliser composes otherwise is cut at blanks alone: what is a letter here may end
-    in a mark there, and a mark and the comma after it are one pre-token."""
-    plain = text.encode("utf-8").lower().decode("utf-8")
-    normal = unicodedata.is_normalized("NFC", plain)
-    if "<|" in text or not normal:
-        plain = text
-    plain = plain.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-    if normal and not MARK_AFTER_MARK.search(plain):
-        plain = plain.replace(", ", " , ").replace(". ", " . ")
-    return plain.split(" ")
-
-
 class WordIds:
     """Ids of texts by the tokenizer library, asked once for each word between cuts.
 
     The library's normaliser drops white space and its pattern never spans it, so a text's
-    ids are those of its words in order. Words are asked for together. Those of letters and
+    ids are those of its words in order. Words are cut by their bytes, numbered by Arrow for a
+    portion of texts, and asked for together. Those of letters and
     marks stand between blanks, and the library's marks of a word's end tell their ids apart;
     as normaliser and pattern leave nothing else to do there, a second tokenizer with the same
     model passes them over. Between all other words stands the library's own special string,
@@ -104,6 +147,9 @@ class WordIds:
     def _learn(self, words: list[str]) -> None:
         others, plain = [], []
         for word in words:
+            if word.isascii() and word.isalpha():
+                plain.append((word, word, ""))
+                continue
             found = LETTERS_AND_MARKS.fullmatch(word)
             plain.append((word, *found.groups())) if found else others.append(word)
         for start in range(0, len(plain), WORDS_AT_ONCE):
@@ -134,20 +180,52 @@ class WordIds:
                 found = self.tokenizer.encode(word, add_special_tokens=False)
                 self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [words_of(t) for t in texts]
-        used = set().union(*cut)
-        new = used.difference(self.known)
+    def _look_up(self, used: list[str]) -> list[bytes]:
+        """Ids of different words."""
+        found = list(map(self.known.get, used))
+        new = [w for w, ids in zip(used, found) if ids is None]
         if new and len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""} | {w: self.known[w] for w in used - new}
-        self._learn(list(new))
-        result = [b"".join(map(self.known.__getitem__, words)) for words in cut]
+            self.known = {"": b""} | {w: ids for w, ids in zip(used, found) if ids is not None}
+        self._learn(new)
+        result = [self.known[w] if ids is None else ids for w, ids in zip(used, found)]
         for word in new:
             if len(word) > REMEMBERED_CHARS:
                 del self.known[word]
         return result
 
+    def _of_alike(self, texts: list[bytes], cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``ids_of`` for texts that are cut at the same places."""
+        words, ends = cut_words(texts, cut)
+        words = words.dictionary_encode()
+        ids = self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        at = words.indices.to_numpy()
+        n = np.array([len(i) // 4 for i in ids], np.int64)
+        starts, flat = (np.cumsum(n) - n)[at], np.frombuffer(b"".join(ids), "<u4")
+        n = n[at]
+        ends = np.append(0, np.cumsum(n))[ends]
+        n_before = np.cumsum(n) - n
+        return flat[np.repeat(starts - n_before, n) + np.arange(n.sum())], np.diff(ends, prepend=0)
+
+    def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in order, and the number of each text's ids."""
+        cuts = [cuts_of(t) for t in texts]
+        plain = np.array([p for _, p in cuts], bool)
+        if plain.all():
+            return self._of_alike([t for t, _ in cuts], CUT)
+        ids, n = [None] * len(texts), np.zeros(len(texts), np.int64)
+        for kind, cut in ((True, CUT), (False, AT_BLANKS)):
+            where = np.flatnonzero(plain == kind)
+            found, n[where] = self._of_alike([cuts[i][0] for i in where], cut)
+            for i, part in zip(where, np.split(found, np.cumsum(n[where])[:-1])):
+                ids[i] = part
+        return np.concatenate(ids), n
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        ids, n = self.ids_of(texts)
+        ends, data = 4 * np.cumsum(n), ids.tobytes()
+        return [data[b - 4 * k : b] for b, k in zip(ends.tolist(), n.tolist())]
+
 
 def word_ids(path: str) -> WordIds:
     """The Python worker's memory of words."""
@@ -158,6 +236,23 @@ def _narrow(n_symbols: int) -> str:
     return "<u2" if n_symbols <= 1 << 16 else "<u4"
 
 
+def binary_array(values: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """Bytes of consecutive stretches of an array, given where each ends."""
+    offsets = np.append(0, ends * values.itemsize)
+    if offsets[-1] >= 1 << 31:
+        raise ValueError(f"{offsets[-1]} bytes do not fit into one Arrow array")
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(ends), buffers)
+
+
+def joined_values(column: pa.BinaryArray, kind: str) -> np.ndarray:
+    """The bytes of all rows of a column without nulls, one after another, as numbers."""
+    if not len(column):
+        return np.zeros(0, kind)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind)
+
+
 def encode_in_order(
     documents: DataFrame, path: str, end_id: int, n_symbols: int, key: str, text: str
 ) -> DataFrame:
@@ -170,23 +265,23 @@ def encode_in_order(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq = first = 0
-        closing = np.array([end_id], kind).tobytes()
         for batch in batches:
-            ids = []
-            texts = [t.as_py() or "" for t in batch.column(2)]
+            texts = [t or "" for t in batch.column(2).to_numpy(zero_copy_only=False)]
+            at = 0
             for part in portions(texts, PORTION_CHARS):
-                for data in word_ids(path).encode(part):
-                    ids.append(np.frombuffer(data, "<u4").astype(kind).tobytes() + closing)
-            n = np.array([len(i) // len(closing) for i in ids], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(np.arange(seq, seq + len(ids))),
-                    pa.array(first + np.cumsum(n) - n), batch.column(1), pa.array(n),
-                    pa.array(ids, pa.binary()),
-                ],
-                names=["part", "seq", "first", "doc_id", "n_tokens", "ids"],
-            )
-            seq, first = seq + len(ids), first + int(n.sum())
+                ids, n = word_ids(path).ids_of(part)
+                ids = np.insert(ids.astype(kind), np.cumsum(n), end_id)
+                n += 1
+                ends = np.cumsum(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, len(part)), pa.array(np.arange(seq, seq + len(part))),
+                        pa.array(first + ends - n), batch.column(1).slice(at, len(part)), pa.array(n),
+                        binary_array(ids, ends),
+                    ],
+                    names=["part", "seq", "first", "doc_id", "n_tokens", "ids"],
+                )
+                at, seq, first = at + len(part), seq + len(part), first + int(ends[-1])
 
     return dealt.mapInArrow(run, IDS_SCHEMA)
 
@@ -198,8 +293,7 @@ def count_ids(encoded: DataFrame, n_symbols: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_symbols, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
-            total += np.bincount(ids, minlength=n_symbols)
+            total += np.bincount(joined_values(batch.column(0), kind), minlength=n_symbols)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
@@ -218,27 +312,32 @@ def write_token_files(encoded: DataFrame, n_symbols: int, folder: str) -> None:
     code = spark.sparkContext.broadcast(Code.of(lengths))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n_held = [], 0
+        held, n_held, last = [], 0, None
 
         def block() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(r[5] for r in held), kind)
+            ids = np.concatenate([joined_values(b.column(5), kind) for b in held])
             bits, checkpoints = encode_block(ids, code.value)
-            part, seq, first = held[0][:3]
-            row = [part, seq, first, len(ids), [r[3] for r in held], [r[4] for r in held]]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            columns = [pa.array([v], k) for v, k in zip(row, kinds)]
+            part, seq, first = (held[0].column(k)[0].as_py() for k in range(3))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            columns = [pa.array([v], k) for v, k in zip((part, seq, first, len(ids)), kinds)]
+            for k in (3, 4):
+                values = pa.concat_arrays([b.column(k) for b in held])
+                columns.append(pa.ListArray.from_arrays([0, len(values)], values))
             columns += [pa.array([checkpoints], pa.list_(pa.int64())), pa.array([bits], pa.binary())]
             held.clear()
             return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                follows = held and row[0] == held[-1][0] and row[1] == held[-1][1] + 1
-                if held and (not follows or n_held + row[4] > BLOCK_TOKENS):
+            start = 0
+            for at, (part, seq, n) in enumerate(zip(*(batch.column(k).to_numpy().tolist() for k in (0, 1, 4)))):
+                if last and ((part, seq) != last or n_held + n > BLOCK_TOKENS):
+                    if at > start:
+                        held.append(batch.slice(start, at - start))
                     yield block()
-                    n_held = 0
-                held.append(row)
-                n_held += row[4]
+                    start, n_held = at, 0
+                last, n_held = (part, seq + 1), n_held + n
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
         if held:
             yield block()
 

@@ -410,3 +410,26 @@ def test_words_of_letters_and_marks_are_asked_for_between_blanks(monkeypatch):
     monkeypatch.setattr(token_files.WordIds, "_learn_apart", lambda self, words: apart.extend(words))
     token_files.WordIds(WORD_BPE)._learn(["house", "Élan!?", "o'clock", "x2", "ab<"])
     assert apart == ["o'clock", "x2", "ab<"]
+
+
+def test_words_differ_by_neither_ascii_capitals_nor_marks_nor_digits_around_them():
+    rule = token_files.WordIds(WORD_BPE)
+    text = "House, house. HOUSE!? (house) house2 12house\n'house' élan×élan Élan; don't"
+    ids = np.frombuffer(rule.encode([text])[0], "<u4").tolist()
+    assert ids == rule.tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(rule.known) == {
+        "", "house", ",", ".", "!?", "(", ")", "1", "2", "'house", "'", "élan×élan", "Élan", ";", "don", "'t",
+    }
+
+
+def test_words_of_any_neighbours_have_the_librarys_ids():
+    signs = [*"abSŜstÉé×÷ßµªİıK²٣२'’.,<>|=-&_ \n\t\x0b\x1c\x85\xa0 ̸́̇⃣각日😀12", "'s", "'RE", "'ll", ", ", ". ", "<|endoftext|>", "<|"]
+    r = np.random.default_rng(5)
+    texts = ["".join(r.choice(signs, r.integers(0, 14))) for _ in range(6000)]
+    rule = token_files.WordIds(WORD_BPE)
+    plain = [e.ids for e in rule.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for size in (1, 7, 6000):
+        found = [i for k in range(0, len(texts), size) for i in rule.encode(texts[k : k + size])]
+        for text, ids, expected in zip(texts, found, plain, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == expected, text
+    assert rule.encode(["", " \n"]) == [b"", b""] and rule.encode([]) == []
